@@ -39,6 +39,8 @@ def shared_dir(spark: SparkSession) -> str:
     base = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:  # only where no cluster has named one, as in tests
         base = "file:///tmp/checkpoints/tessera"
+    path = sc._jvm.org.apache.hadoop.fs.Path(base)  # a path without a scheme is in the cluster's default store
+    base = str(path.getFileSystem(sc._jsc.hadoopConfiguration()).makeQualified(path).toString())
     return f"{base.rstrip('/')}/tessera-{uuid.uuid4().hex}"
 
 

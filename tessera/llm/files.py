@@ -27,7 +27,7 @@ def new_name(folder: str, stem: str) -> str:
 def create(uri: str) -> Any:
     store, path = locate(uri)
     store.create_dir(path.rpartition("/")[0], recursive=True)
-    return store.open_output_stream(path)
+    return store.open_output_stream(path, compression=None)  # by default a name in .gz is packed again
 
 
 def open_input(uri: str) -> Any:

@@ -140,7 +140,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", lang_pred: str =
     spark = docs.sparkSession
     prepare(spark)
     docs = docs.drop(lang_pred, score)
-    schema = docs.select("*", F.lit("").alias(lang_pred), F.lit(0.0).alias(score)).schema
+    schema = docs.select("*", F.lit(None).cast("string").alias(lang_pred), F.lit(None).cast("double").alias(score)).schema
     shared = spark.sparkContext.broadcast(model)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, token_files
-from .common import held_out, table
+from . import bpe, langid, minhash, token_files, urlfilter, warc
+from .common import held_out, shared_dir, table
 
 
 def vocabulary(name: str) -> str:
@@ -27,16 +27,31 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, ["doc_id"])
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(table(spark, sf_dir, "pages"), ["page_id"])
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read(warc.write(table(spark, sf_dir, "pages"), shared_dir(spark)))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", held_out("doc_id", 5, 0))
     model = langid.fit(docs.where(~F.col("held_out")))
     return langid.predict(docs.select("doc_id", "held_out", "text"), model).drop("text")
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_files": op2_token_files,
     "op3_bpe_round_trip": op3_bpe_round_trip,
+    "op4_url_filter": op4_url_filter,
+    "op5_warc": op5_warc,
     "op8_language_id": op8_language_id,
+    "op10_minhash": op10_minhash,
 }
 
 #: Only what SQL can say of whole tables.
