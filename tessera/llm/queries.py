@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, minhash, token_files, urlfilter, warc
+from . import bpe, langid, minhash, substring, token_files, urlfilter, warc
 from .common import held_out, shared_dir, table
 
 
@@ -41,6 +41,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "held_out", "text"), model).drop("text")
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digests(table(spark, sf_dir, "documents"))
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_filter": op4_url_filter,
     "op5_warc": op5_warc,
     "op8_language_id": op8_language_id,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_minhash": op10_minhash,
 }
 
