@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, minhash, substring, token_files, urlfilter, warc
+from . import bpe, langid, maxent, minhash, substring, token_files, urlfilter, warc
 from .common import held_out, shared_dir, table
 
 
@@ -35,6 +35,11 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(warc.write(table(spark, sf_dir, "pages"), shared_dir(spark)))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return maxent.score(docs.withColumn("training", ~held_out("doc_id", 7, 2)))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", held_out("doc_id", 5, 0))
     model = langid.fit(docs.where(~F.col("held_out")))
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe_round_trip": op3_bpe_round_trip,
     "op4_url_filter": op4_url_filter,
     "op5_warc": op5_warc,
+    "op6_lm_scoring": op6_lm_scoring,
     "op8_language_id": op8_language_id,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_minhash": op10_minhash,
