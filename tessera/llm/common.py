@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -74,3 +75,13 @@ def slices(batches: Iterable[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
             held += n
         if begin < len(lengths):
             yield batch.slice(begin)
+
+
+def tree_sum(rows: DataFrame, kind: type, zero: np.ndarray) -> np.ndarray:
+    """Sum of arrays of one fixed size, which rows hold as bytes; summed on executors in a tree."""
+
+    def add(total: np.ndarray, row: tuple) -> np.ndarray:
+        total += np.frombuffer(row[0], kind)
+        return total
+
+    return rows.rdd.map(tuple).treeAggregate(zero, add, lambda a, b: a + b, depth=2)

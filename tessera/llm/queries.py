@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, maxent, minhash, substring, token_files, urlfilter, warc
+from . import bpe, jaccard, langid, maxent, minhash, substring, token_files, urlfilter, warc
 from .common import held_out, shared_dir, table
 
 
@@ -40,6 +40,10 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent.score(docs.withColumn("training", ~held_out("doc_id", 7, 2)))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.digests(table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", held_out("doc_id", 5, 0))
     model = langid.fit(docs.where(~F.col("held_out")))
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_filter": op4_url_filter,
     "op5_warc": op5_warc,
     "op6_lm_scoring": op6_lm_scoring,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_language_id": op8_language_id,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_minhash": op10_minhash,
