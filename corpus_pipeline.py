@@ -2,12 +2,61 @@
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.llm import bpe, decontaminate, jaccard, langid, substring
+from tessera.llm.common import checkpointed, held_out, shared_dir, table
+from tessera.llm.queries import vocabulary
+
+#: A document is rejected if no language has this share of its n-grams' votes, or it has no letters.
+LEAST_SCORE = 0.3
+#: Near-duplicates: runs of five words, Jaccard 0.8 or more.
+WIDTH, SIMILARITY = 5, (80, 100)
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the documents whose language is told with LEAST_SCORE at least."""
+    model = langid.fit(docs.where(~held_out("doc_id", 5, 0)))
+    told = langid.predict(docs, model, lang_pred="__lang", score="__score")
+    return told.where((F.col("__lang") != langid.UND) & (F.col("__score") >= LEAST_SCORE)).drop("__lang", "__score")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near-duplicates: the one of least doc_id."""
+    return jaccard.one_of_each(docs, WIDTH, *SIMILARITY)
+
+
+def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Removes words in repeated windows from the texts; n_chars follows the text."""
+    return substring.strip(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the documents in which no benchmark item is found."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document's ids, with digests of the ids and of the text decoded from them."""
+    import public_tokenizers
+
+    return bpe.digests(docs, vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, ["doc_id", "lang", "source"], with_ids=True)
+
+
+STAGES = [
+    ("language ID", language),
+    ("n-gram Jaccard join", near_duplicates),
+    ("substring dedup", substrings),
+    ("benchmark decontamination", decontaminated),
+    ("byte-level BPE encoding and decoding", encoded),
+]
+#: SQL can't express language ID by a fitted model.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, folder = table(spark, sf_dir, "documents"), shared_dir(spark)
+    for i, (_, stage) in enumerate(STAGES):
+        docs = checkpointed(stage(spark, docs, sf_dir), folder, f"stage-{i}")
     return docs

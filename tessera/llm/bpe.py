@@ -217,11 +217,11 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str =
     return df.mapInArrow(rows, schema)
 
 
-def digests(docs: DataFrame, path: str, pattern: str, keep: list[str], text: str = "text") -> DataFrame:
-    """Per document: the columns in keep, n_tokens, ids_sha256, decoded_sha256, round_trip (decoded bytes are the text's)."""
+def digests(docs: DataFrame, path: str, pattern: str, keep: list[str], text: str = "text", with_ids: bool = False) -> DataFrame:
+    """Per document: the columns in keep, n_tokens, ids_sha256, decoded_sha256, round_trip (decoded bytes are the text's), ids if asked."""
     prepare(docs.sparkSession)
     docs = docs.select(*keep, *([] if text in keep else [text]))
-    schema = docs.select(*keep).withColumns({"n_tokens": F.lit(0).cast("long"), "ids_sha256": F.lit(""), "decoded_sha256": F.lit(""), "round_trip": F.lit(True)}).schema
+    schema = docs.select(*keep).withColumns({"n_tokens": F.lit(0).cast("long"), "ids_sha256": F.lit(""), "decoded_sha256": F.lit(""), "round_trip": F.lit(True), **({"ids": F.lit(None).cast("array<int>")} if with_ids else {})}).schema
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
@@ -233,6 +233,7 @@ def digests(docs: DataFrame, path: str, pattern: str, keep: list[str], text: str
             hashed = [hashlib.sha256(data[a * 4 : b * 4]).hexdigest() for a, b in zip(first.tolist(), first[1:].tolist(), strict=False)]
             texts = [back[a:b].tobytes() for a, b in zip(edge.tolist(), edge[1:].tolist(), strict=False)]
             same = [x == raw[a:b].tobytes() for x, a, b in zip(texts, at.tolist(), at[1:].tolist(), strict=False)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), pa.array(np.diff(first), pa.int64()), pa.array(hashed, pa.string()), pa.array([hashlib.sha256(x).hexdigest() for x in texts], pa.string()), pa.array(same, pa.bool_())], names=schema.names)
+            more = [pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids, pa.int32()))] if with_ids else []
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), pa.array(np.diff(first), pa.int64()), pa.array(hashed, pa.string()), pa.array([hashlib.sha256(x).hexdigest() for x in texts], pa.string()), pa.array(same, pa.bool_()), *more], names=schema.names)
 
     return docs.mapInArrow(rows, schema)

@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bitfilter, minhash
@@ -164,3 +164,20 @@ def digests(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100, fold
     found = grouped(docs.select("doc_id", "text"), folder or shared_dir(docs.sparkSession), width, num, den)
     least = found.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     return found.join(least, "comp", "left").select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, width: int, num: int, den: int, doc_id: str = "doc_id", text: str = "text", folder: str | None = None) -> DataFrame:
+    """docs with one row of each component: that of the least doc_id (null last; ties: least hash of the text, then any of equal rows).
+
+    Rows with empty sets link with nothing and all stay.
+    """
+    names = docs.columns
+    keyed = docs.withColumns({"__d": F.col(doc_id), "__t": F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
+    told = grouped(keyed.select("__d", "__t", F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), folder or shared_dir(docs.sparkSession), width, num, den, keep=["__d", "__t"])
+    order = F.struct(F.col("__d").isNull(), "__d", "__t")
+    best = told.where("comp is not null").groupBy("comp").agg(F.min(order).alias("best"))
+    rows = told.groupBy("__d", "__t").agg(F.first("comp").alias("comp")).join(best, "comp", "left")
+    kept = rows.where(F.col("comp").isNull() | order.eqNullSafe(F.col("best"))).select(F.col("__d").alias("__kd"), F.col("__t").alias("__kt"), F.col("comp").isNotNull().alias("__grouped"))
+    joined = keyed.join(kept, F.col("__d").eqNullSafe(F.col("__kd")) & (F.col("__t") == F.col("__kt")))
+    place = F.row_number().over(Window.partitionBy("__d", "__t").orderBy("__grouped"))
+    return joined.withColumn("__place", place).where(~F.col("__grouped") | (F.col("__place") == 1)).select(*names)

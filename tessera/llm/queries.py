@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, langid, maxent, minhash, substring, token_files, urlfilter, warc
+from . import bpe, decontaminate, jaccard, langid, maxent, minhash, substring, token_files, urlfilter, warc
 from .common import held_out, shared_dir, table
 
 
@@ -17,6 +17,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.found(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.write_and_read(spark, table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -59,6 +63,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_token_files": op2_token_files,
     "op3_bpe_round_trip": op3_bpe_round_trip,
     "op4_url_filter": op4_url_filter,
