@@ -27,7 +27,7 @@ from . import chunks
 from .common import prepare, slices
 from .textkernel import expand, span_hashes
 
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 800_000
 #: Bytes of distinct words in one recursive query.
 QUERY_BYTES = 250_000
 _workers: dict[tuple[str, str], "DuckBpe"] = {}
@@ -58,7 +58,7 @@ def ranks(path: str) -> dict[bytes, int]:
 def connect() -> object:
     import duckdb
 
-    db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+    db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "250MB", "temp_directory": ""})
     db.execute("SET preserve_insertion_order = true")
     return db
 
@@ -78,7 +78,7 @@ class DuckBpe:
         self._fill("merges", pa.table({"a": a, "b": b, "key": pa.array(r.to_numpy().astype(np.int64) << 32)}))
         self._fill("vocabulary", pa.table({"id": pa.array(list(self.ranks.values()), pa.int32()), "hex": [t.hex() for t in self.ranks]}))
         self.words, self.chunks = chunks.Cache(CACHE_ENTRIES), chunks.Cache(CACHE_ENTRIES)
-        self.sequences = chunks.Cache(CACHE_ENTRIES)
+        self.sequences = chunks.Cache(CACHE_ENTRIES, np.uint8)
 
     def _fill(self, name: str, data: pa.Table) -> None:
         self.db.register("given", data)
@@ -167,10 +167,10 @@ class DuckBpe:
             sizes = (end - start)[at[new]]
             edge = np.concatenate([[0], np.cumsum(sizes)])
             texts = self.decode(ids[expand(start[at[new]], sizes)], edge)
-            entry[new] = self.sequences.add(keys[new], np.array([len(x) for x in texts], np.int32), np.frombuffer(b"".join(texts), np.uint8).astype(np.int32))
+            entry[new] = self.sequences.add(keys[new], np.array([len(x) for x in texts], np.int32), np.frombuffer(b"".join(texts), np.uint8))
         sizes, out = self.sequences.ids(entry[inverse])
         after = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-        return out.astype(np.uint8), after[np.searchsorted(start, first)]
+        return out, after[np.searchsorted(start, first)]
 
     @property
     def opens(self) -> np.ndarray:

@@ -52,13 +52,13 @@ def cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 class Cache:
     """From 64-bit hashes of chunks to their ids; sorted levels, merged as they grow, emptied at limit entries."""
 
-    def __init__(self, limit: int) -> None:
-        self.limit = limit
+    def __init__(self, limit: int, kind: type = np.int32) -> None:
+        self.limit, self.kind = limit, kind
         self.clear()
 
     def clear(self) -> None:
         self.levels: list[tuple[np.ndarray, np.ndarray]] = []
-        self.start, self.size, self.flat = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int32), np.zeros(1 << 14, np.int32)
+        self.start, self.size, self.flat = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int32), np.zeros(1 << 14, self.kind)
         self.entries = self.used = 0
 
     def find(self, keys: np.ndarray) -> np.ndarray:
