@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -77,11 +77,21 @@ def slices(batches: Iterable[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
             yield batch.slice(begin)
 
 
-def tree_sum(rows: DataFrame, kind: type, zero: np.ndarray) -> np.ndarray:
-    """Sum of arrays of one fixed size, which rows hold as bytes; summed on executors in a tree."""
+#: Pieces that arrays are cut into for sums over all tasks.
+PIECES = 16
 
-    def add(total: np.ndarray, row: tuple) -> np.ndarray:
-        total += np.frombuffer(row[0], kind)
-        return total
 
-    return rows.rdd.map(tuple).treeAggregate(zero, add, lambda a, b: a + b, depth=2)
+def array_sums(rows: DataFrame, kinds: list[type], combine: Callable[[list[np.ndarray]], list[np.ndarray]] = lambda x: x) -> list[np.ndarray]:
+    """Sums of arrays that rows hold as bytes, a column each of kinds; summed piece by piece on executors.
+
+    combine maps a row's arrays, cut to a piece, to the arrays that are summed. The driver gets each
+    sum once, in pieces.
+    """
+
+    def pieces(row: tuple) -> Iterator[tuple[int, list[np.ndarray]]]:
+        arrays = [np.frombuffer(x, k).reshape(PIECES, -1) for x, k in zip(row, kinds, strict=True)]
+        for i in range(PIECES):
+            yield i, combine([a[i] for a in arrays])
+
+    found = dict(rows.rdd.flatMap(lambda r: pieces(tuple(r))).reduceByKey(lambda a, b: [x + y for x, y in zip(a, b, strict=True)], PIECES).collect())
+    return [np.concatenate(x) for x in zip(*(found[i] for i in range(PIECES)), strict=True)] if found else []

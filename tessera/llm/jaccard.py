@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bitfilter, minhash
-from .common import checkpointed, prepare, shared_dir, slices, tree_sum
+from .common import array_sums, checkpointed, prepare, shared_dir, slices
 from .components import components
 from .textkernel import U, mix, words
 
@@ -65,7 +65,8 @@ def rarity(docs: DataFrame, width: int) -> np.ndarray:
             counts += np.bincount((sets(batch.column("text"), width)[0] >> U(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counts))
         yield pa.RecordBatch.from_arrays([pa.array([counts.astype(np.uint32).tobytes()], pa.binary())], names=["v"])
 
-    return tree_sum(docs.select("text").mapInArrow(rows, "v binary"), np.uint32, np.zeros(1 << SKETCH_BITS, np.int64))
+    sums = array_sums(docs.select("text").mapInArrow(rows, "v binary"), [np.uint32], lambda x: [x[0].astype(np.int64)])
+    return sums[0] if sums else np.zeros(1 << SKETCH_BITS, np.int64)
 
 
 def described(docs: DataFrame, counts: np.ndarray, width: int, num: int, den: int) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, prepare, shared_dir, slices
+from .common import array_sums, checkpointed, prepare, shared_dir, slices
 from .textkernel import U, Words, mix, words
 
 HOT, CONTEXT = 1 << 18, 1 << 13
@@ -203,22 +203,13 @@ def train(training: DataFrame, counts: Counts) -> tuple[np.ndarray, np.ndarray]:
             own -= base
             yield pa.RecordBatch.from_arrays([pa.array([own.astype(np.float16).tobytes()], pa.binary()), pa.array([used.tobytes()], pa.binary())], names=["change", "used"])
 
-        def add(total: tuple, row: tuple) -> tuple:
-            used = np.frombuffer(row[1], np.float32)
-            change = np.frombuffer(row[0], np.float16).astype(np.float32).reshape(-1, CLASSES) * used[:, None]
-            if total is None:
-                return change, used.copy()
-            np.add(total[0], change, out=total[0])
-            np.add(total[1], used, out=total[1])
-            return total
-
-        def join(a: tuple, b: tuple) -> tuple:
-            return b if a is None else a if b is None else (a[0] + b[0], a[1] + b[1])
+        def weighted(x: list[np.ndarray]) -> list[np.ndarray]:
+            return [(x[0].astype(np.float32).reshape(-1, CLASSES) * x[1][:, None]).reshape(-1), x[1]]
 
         share = training.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)) == r).select("text")
-        total = share.mapInArrow(learn, "change binary, used binary").rdd.map(tuple).treeAggregate(None, add, join, depth=2)
-        if total is not None:
-            weights = weights + total[0] / np.maximum(total[1], 1)[:, None]
+        sums = array_sums(share.mapInArrow(learn, "change binary, used binary"), [np.float16, np.float32], weighted)
+        if sums:
+            weights = weights + sums[0].reshape(-1, CLASSES) / np.maximum(sums[1], 1)[:, None]
     return weights.astype(np.float32), bias
 
 
