@@ -71,11 +71,12 @@ def audit_line(verdict: Column) -> Column:
 def stage(posture: Column, event_type: Column) -> Column:
     """stage and basis: the posture's first matching group, else the event's stage, else unclear."""
     p, e = strip(F.coalesce(posture, F.lit(""))), strip(F.coalesce(event_type, F.lit("")))
-    out = F.lit(None).cast("string")
-    for label, patterns in reversed(L.STAGES):
-        out = F.when((p != "") & p.rlike(rx(patterns)), label).otherwise(out)
+    told = lambda label, basis: F.struct(label.alias("stage"), F.lit(basis).alias("basis"))
     of_event = lookup(e, L.STAGE_OF_EVENT, None)
-    return F.struct(F.coalesce(out, of_event, F.lit(L.STAGE_UNKNOWN)).alias("stage"), F.when(out.isNotNull(), "posture").when(of_event.isNotNull(), "event type").otherwise("").alias("basis"))
+    out = F.when(of_event.isNotNull(), told(of_event, "event type")).otherwise(told(F.lit(L.STAGE_UNKNOWN), ""))
+    for label, patterns in reversed(L.STAGES):
+        out = F.when((p != "") & p.rlike(rx(patterns)), told(F.lit(label), "posture")).otherwise(out)
+    return out
 
 
 def jurisdiction(jurisdiction: Column, venue: Column, court: Column) -> Column:

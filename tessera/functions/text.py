@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from typing import Any
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with value computed once, however often use names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def rx(alternatives: Iterable[str]) -> str:
     """One pattern of alternatives, without regard to case, with Unicode classes as in other engines."""
     return "(?iU)" + "|".join(f"(?:{a})" for a in alternatives)

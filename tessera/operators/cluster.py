@@ -6,29 +6,37 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lexicon as L
-from ..functions.text import collapse, strip
+from ..functions.text import collapse, let, strip
 
 
 def caption_key(caption: Column) -> Column:
     """Comparison key of a caption; empty if it is too generic to be one."""
-    raw = strip(F.coalesce(caption, F.lit("")))
-    left, right = F.regexp_extract(raw, r"(?iUs)^(.*?)\bv\.?\s(.*)$", 1), F.regexp_extract(raw, r"(?iUs)^(.*?)\bv\.?\s(.*)$", 2)
-    government = left.rlike("(?iU)" + L.US_PLAINTIFF) & (strip(right) != "")
-    body = F.lower(F.when(government, right).otherwise(raw))
-    body = F.replace(F.regexp_replace(body, r"\([^)]*\)", " "), F.lit("&"), F.lit(" and "))
-    body = F.regexp_replace(body, r"[^a-z0-9 ]+", " ")
-    body = collapse(F.regexp_replace(body, rf"\b(?:{'|'.join(L.CAPTION_NOISE)})\b", " "))
-    key = F.concat(F.when(government, "us v ").otherwise(""), body)
-    useless = (body == "") | key.isin(*L.GENERIC_CAPTIONS) | (F.length(key) < L.MIN_KEY_CHARS) | (F.size(F.split(key, " ")) < L.MIN_KEY_TOKENS)
-    return F.when(useless, "").otherwise(key)
+    def usable(key: Column) -> Column:
+        useless = key.isin(*L.GENERIC_CAPTIONS) | (F.length(key) < L.MIN_KEY_CHARS) | (F.size(F.split(key, " ")) < L.MIN_KEY_TOKENS)
+        return F.when(useless, "").otherwise(key)
+
+    def plain(text: Column) -> Column:
+        body = F.replace(F.regexp_replace(F.lower(text), r"\([^)]*\)", " "), F.lit("&"), F.lit(" and "))
+        body = F.regexp_replace(body, r"[^a-z0-9 ]+", " ")
+        return collapse(F.regexp_replace(body, rf"\b(?:{'|'.join(L.CAPTION_NOISE)})\b", " "))
+
+    def keyed(raw: Column) -> Column:
+        versus = r"(?iUs)^(.*?)\bv\.?\s(.*)$"
+        sides = F.struct(F.regexp_extract(raw, versus, 1).rlike("(?iU)" + L.US_PLAINTIFF).alias("us"), F.regexp_extract(raw, versus, 2).alias("right"))
+        split = let(sides, lambda x: F.struct((x["us"] & (strip(x["right"]) != "")).alias("us"), F.when(x["us"] & (strip(x["right"]) != ""), x["right"]).otherwise(raw).alias("body")))
+        return let(split, lambda x: let(plain(x["body"]), lambda k: F.when(k == "", "").otherwise(let(F.concat(F.when(x["us"], "us v ").otherwise(""), k), usable))))
+
+    return let(strip(F.coalesce(caption, F.lit(""))), keyed)
 
 
 def docket_key(docket: Column) -> Column:
     """yy-kind-number of a docket text without padding, or empty."""
-    number = F.lower(F.regexp_extract(F.coalesce(docket, F.lit("")), "(?i)" + L.CASE_NUMBER, 1))
-    parts = [F.regexp_extract(number, r"^(\d{2})-([a-z]{0,3})-?(\d+)$", i) for i in (1, 2, 3)]
-    bare = F.coalesce(F.nullif(F.ltrim(parts[2], F.lit("0")), F.lit("")), F.lit("0"))
-    return F.when(number == "", "").otherwise(F.concat(parts[0], F.lit("-"), parts[1], F.lit("-"), bare))
+    def canonical(number: Column) -> Column:
+        parts = [F.regexp_extract(number, r"^(\d{2})-([a-z]{0,3})-?(\d+)$", i) for i in (1, 2, 3)]
+        bare = F.regexp_replace(parts[2], "^0+(?=[0-9])", "")
+        return F.when(number == "", "").otherwise(F.concat(parts[0], F.lit("-"), parts[1], F.lit("-"), bare))
+
+    return let(F.lower(F.regexp_extract(F.coalesce(docket, F.lit("")), "(?i)" + L.CASE_NUMBER, 1)), canonical)
 
 
 def open_ended(caption: Column) -> Column:
@@ -36,8 +44,8 @@ def open_ended(caption: Column) -> Column:
 
 
 def cluster_key(caption: Column, docket: Column, uid: Column) -> Column:
-    c, d = caption_key(caption), docket_key(docket)
-    return F.when(c != "", F.concat(F.lit("cap:"), c)).when(d != "", F.concat(F.lit("dkt:"), d)).otherwise(F.concat(F.lit("uid:"), uid))
+    named = lambda kind, key: let(key, lambda k: F.when(k != "", F.concat(F.lit(kind), k)))
+    return F.coalesce(named("cap:", caption_key(caption)), named("dkt:", docket_key(docket)), F.concat(F.lit("uid:"), uid))
 
 
 def absorptions(keys: DataFrame) -> DataFrame:

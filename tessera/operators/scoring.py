@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import lexicon as L
-from ..functions.text import lookup, strip
+from ..functions.text import let, lookup, strip
 
 
 def _text(name: str, default: str) -> Column:
@@ -36,10 +36,10 @@ def collectability(is_public: Column, note: Column) -> Column:
 
 def venue_match(*parts: Column) -> Column:
     """quality and needle of the best venue named in the parts: above 0.5, the first of equals; else the default."""
-    blob = F.lower(F.concat_ws(" ", *[F.coalesce(p, F.lit("")) for p in parts]))
     needles = F.array(*[F.struct(F.lit(q).alias("quality"), F.lit(-i).alias("place"), F.lit(n).alias("needle")) for i, (n, q) in enumerate(L.VENUE_QUALITY.items())])
-    best = F.array_max(F.filter(needles, lambda n: F.contains(blob, n["needle"]) & (n["quality"] > 0.5)))
-    return F.struct(F.coalesce(best["quality"], F.lit(0.5)).alias("quality"), F.coalesce(best["needle"], F.lit("default")).alias("needle"))
+    default = F.struct(F.lit(0.5).alias("quality"), F.lit(0).alias("place"), F.lit("default").alias("needle"))
+    blob = F.lower(F.concat_ws(" ", *[F.coalesce(p, F.lit("")) for p in parts]))
+    return let(blob, lambda b: F.coalesce(F.array_max(F.filter(needles, lambda n: F.contains(b, n["needle"]) & (n["quality"] > 0.5))), default))
 
 
 def size_band(amount: Column, imputed: Column) -> Column:
