@@ -27,9 +27,11 @@ from . import chunks
 from .common import prepare, slices
 from .textkernel import expand, span_hashes
 
-CACHE_ENTRIES = 800_000
+#: Text bytes encoded at once; with the cache and DuckDB's limit this keeps a worker near 400 MB.
+SLICE = 3 << 18
+CACHE_ENTRIES = 250_000
 #: Bytes of distinct words in one recursive query.
-QUERY_BYTES = 250_000
+QUERY_BYTES = 60_000
 _workers: dict[tuple[str, str], "DuckBpe"] = {}
 
 ENCODE = """
@@ -58,7 +60,7 @@ def ranks(path: str) -> dict[bytes, int]:
 def connect() -> object:
     import duckdb
 
-    db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "250MB", "temp_directory": ""})
+    db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "100MB", "temp_directory": ""})
     db.execute("SET preserve_insertion_order = true")
     return db
 
@@ -194,7 +196,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", out: str
     schema = df.select("*", F.lit(None).cast("array<int>").alias(out)).schema
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, SLICE):
             ids, first = worker(path, pattern).encode(batch.column(text))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids, pa.int32()))], names=[*batch.schema.names, out])
 
@@ -224,7 +226,7 @@ def digests(docs: DataFrame, path: str, pattern: str, keep: list[str], text: str
     schema = docs.select(*keep).withColumns({"n_tokens": F.lit(0).cast("long"), "ids_sha256": F.lit(""), "decoded_sha256": F.lit(""), "round_trip": F.lit(True), **({"ids": F.lit(None).cast("array<int>")} if with_ids else {})}).schema
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, SLICE):
             bpe = worker(path, pattern)
             ids, first = bpe.encode(batch.column(text))
             back, edge = bpe.decode_documents(ids, first)

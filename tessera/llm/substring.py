@@ -52,7 +52,7 @@ class Anchors:
         place = at[begin]
         self.anchor = grams[place] if len(begin) else np.zeros(0, U)
         other = w.hashes(2)
-        p, self.inverse = powers(11, len(other) + 1)
+        p, self.inverse = powers(len(other) + 1)
         self.sums = np.zeros(len(other) + 1, U)
         np.cumsum(other * p[: len(other)], out=self.sums[1:])
         shape = ((place - self.low) * 4096 + (self.high - self.low)).astype(U)

@@ -27,14 +27,10 @@ def _codes(seed: int) -> np.ndarray:
     return np.random.Generator(np.random.PCG64(seed)).integers(1, 2**64, 256, dtype=np.uint64)
 
 
-def _odd(seed: int) -> int:
-    return int(np.random.Generator(np.random.PCG64(seed + 1000)).integers(1, 2**63)) * 2 + 1
-
-
-@lru_cache(maxsize=8)
-def _powers(seed: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """P**j and P**-j modulo 2**64 for j below size."""
-    p = _odd(seed)
+@lru_cache(maxsize=2)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """P**j and P**-j modulo 2**64 for j below size, P odd; one pair of tables serves all seeds."""
+    p = 0x9FB21C651E98DF25
     out = []
     for base in (p, pow(p, -1, 2**64)):
         steps = np.full(size, base, dtype=np.uint64)
@@ -43,8 +39,8 @@ def _powers(seed: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def powers(seed: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(seed, 1 << max(16, int(size).bit_length()))
+def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    return _powers(1 << max(20, int(size).bit_length()))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -90,7 +86,7 @@ class Words:
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 1) -> np.ndarray:
     if not len(start):
         return np.zeros(0, U)
-    p, inverse = powers(seed, len(data) + 1)
+    p, inverse = powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, U)
     np.cumsum(_codes(seed)[data] * p[: len(data)], out=sums[1:])
     return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(U) * U(0x9E3779B97F4A7C15))
@@ -121,10 +117,10 @@ def window_hashes(h: np.ndarray, width: int, seed: int = 7) -> np.ndarray:
     n = len(h) - width + 1
     if n <= 0:
         return np.zeros(0, U)
-    p, inverse = powers(seed, len(h) + 1)
+    p, inverse = powers(len(h) + 1)
     sums = np.zeros(len(h) + 1, U)
     np.cumsum(h * p[: len(h)], out=sums[1:])
-    return mix((sums[width:] - sums[:n]) * inverse[:n])
+    return mix((sums[width:] - sums[:n]) * inverse[:n] + U(seed))
 
 
 def within(first: np.ndarray, width: int) -> np.ndarray:
