@@ -11,8 +11,9 @@ least position: a pair of blocks is skipped whole when its positions or sizes ru
 Answers are derived from similar sets: first each class is compared only with its lists' hubs, the
 sets of least position. A class that links with a hub takes over the hub's component, and from then
 on only blocks of different components are compared, so that a group of near copies costs as many
-comparisons as it has members. Every pair that may link and isn't connected already is verified on
-whole sets. Shingles are 64-bit hashes, classes 128-bit ones.
+comparisons as it has members. Every pair that may link and isn't connected already is verified: first
+on parity signatures (bits in which two differ are at most the shingles in which the sets differ, so
+no link is lost), then on whole sets. Shingles are 64-bit hashes, classes 128-bit ones.
 
 Rarity is estimated from counts of 2**SKETCH_BITS buckets over all documents; the order affects only
 speed. Null texts and texts without words have empty sets and link with nothing. Repeated rows are
@@ -34,6 +35,8 @@ from .components import components
 from .textkernel import U, mix, words
 
 SKETCH_BITS = 20
+#: 64-bit words of a set's parity signature.
+PARITY_WORDS = 16
 _CLASS = "struct<x:long,y:long>"
 
 
@@ -52,6 +55,14 @@ def class_ids(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return out[0], out[1]
 
 
+def parities(h: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Per set, for each bit of its signature whether an odd number of its shingles fall on it; as words."""
+    bits = 64 * PARITY_WORDS
+    row = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    odd = np.bincount(row * bits + (mix(h + U(0xA0761D6478BD642F)) % U(bits)).astype(np.int64), minlength=(len(first) - 1) * bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def _struct(x: np.ndarray, y: np.ndarray) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(x.view(np.int64)), pa.array(y.view(np.int64))], names=["x", "y"])
 
@@ -70,7 +81,7 @@ def rarity(docs: DataFrame, width: int) -> np.ndarray:
 
 
 def described(docs: DataFrame, counts: np.ndarray, width: int, num: int, den: int) -> DataFrame:
-    """Per document: doc_id, rid, size, cid, prefix (shingles in order of rarity)."""
+    """Per document: size, cid, prefix (shingles in order of rarity) and parity beside all columns but text."""
     shared = docs.sparkSession.sparkContext.broadcast(np.minimum(counts, (1 << 24) - 1).astype(np.uint32))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,16 +93,25 @@ def described(docs: DataFrame, counts: np.ndarray, width: int, num: int, den: in
             prefix = [h[a:b][np.argsort(order[a:b], kind="stable")[:k]] for a, b, k in zip(first.tolist(), first[1:].tolist(), take.tolist(), strict=False)]
             flat = np.concatenate(prefix) if prefix else h
             edge = np.concatenate([[0], np.cumsum(take)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in batch.schema.names if k != "text"), pa.array(size, pa.int64()), _struct(*class_ids(h, first)), pa.ListArray.from_arrays(pa.array(edge), pa.array(flat.view(np.int64)))], names=[*(k for k in batch.schema.names if k != "text"), "size", "cid", "prefix"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in batch.schema.names if k != "text"), pa.array(size, pa.int64()), _struct(*class_ids(h, first)), pa.ListArray.from_arrays(pa.array(edge), pa.array(flat.view(np.int64))), pa.ListArray.from_arrays(pa.array(np.arange(len(first), dtype=np.int32) * PARITY_WORDS), pa.array(parities(h, first)))], names=[*(k for k in batch.schema.names if k != "text"), "size", "cid", "prefix", "parity"])
 
     plain = docs.drop("text").schema
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in plain), "size long", f"cid {_CLASS}", "prefix array<long>"])
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in plain), "size long", f"cid {_CLASS}", "prefix array<long>", "parity array<long>"])
     return docs.mapInArrow(rows, schema)
 
 
-def verified(docs: DataFrame, pairs: DataFrame, folder: str, name: str, width: int, num: int, den: int) -> DataFrame:
-    """The pairs (a, b of class ids) whose whole sets link; docs is read again for the sets of the classes in pairs."""
-    pairs = checkpointed(pairs.select("a", "b").distinct(), folder, f"{name}-pairs")
+def verified(docs: DataFrame, signed: DataFrame, pairs: DataFrame, folder: str, name: str, width: int, num: int, den: int) -> DataFrame:
+    """The pairs (a, b of class ids) whose whole sets link; docs is read again for the sets of the classes in pairs.
+
+    signed: cid, size and parity of all classes.
+    """
+    pairs = pairs.select("a", "b").distinct()
+    for s in "ab":
+        pairs = pairs.join(signed.select(F.col("cid").alias(s), F.col("size").alias(f"n{s}"), F.col("parity").alias(f"p{s}")), s)
+    differ = F.lit(0)
+    for i in range(PARITY_WORDS):
+        differ = differ + F.bit_count(F.get("pa", F.lit(i)).bitwiseXOR(F.get("pb", F.lit(i))))
+    pairs = checkpointed(pairs.where(differ * (num + den) <= (F.col("na") + F.col("nb")) * (den - num)).select("a", "b"), folder, f"{name}-pairs")
     asked = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(bitfilter.build(asked.select("cid.x"), "x"))
@@ -131,6 +151,7 @@ def grouped(docs: DataFrame, folder: str, width: int, num: int, den: int, doc_id
     counts = rarity(texts, width)
     told = checkpointed(described(docs, counts, width, num, den), folder, "documents")
     classes = told.where("size > 0").groupBy("cid").agg(F.first("size").alias("size"), F.first("prefix").alias("prefix"))
+    signed = checkpointed(told.where("size > 0").groupBy("cid").agg(F.first("size").alias("size"), F.first("parity").alias("parity")), folder, "signed")
     bucket = F.floor(F.log(F.col("size").cast("double")) / float(np.log(den / num))).cast("int")
     listed = classes.select("cid", "size", bucket.alias("bucket"), F.posexplode("prefix").alias("pos", "tok"))
     listed = checkpointed(listed, folder, "listed")
@@ -141,7 +162,7 @@ def grouped(docs: DataFrame, folder: str, width: int, num: int, den: int, doc_id
     hub = index.groupBy("tok", "bucket").agg(F.min(F.struct("pos", "size", "cid")).alias("hub"))
     hubs = hub.select("tok", F.explode(F.array(F.col("bucket") - 1, F.col("bucket"), F.col("bucket") + 1)).alias("bucket"), F.col("hub.pos").alias("hp"), F.col("hub.size").alias("hs"), F.col("hub.cid").alias("b"))
     first = index.withColumnRenamed("cid", "a").join(hubs, ["tok", "bucket"]).where((F.col("a") != F.col("b")) & _may_link(num, den, "size", "pos", "hs", "hp"))
-    links = verified(texts, first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), folder, "hubs", width, num, den)
+    links = verified(texts, signed, first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), folder, "hubs", width, num, den)
     linked = components(links, folder, "hub-components")
 
     # Blocks of different components that positions and sizes don't rule out.
@@ -154,10 +175,10 @@ def grouped(docs: DataFrame, folder: str, width: int, num: int, den: int, doc_id
     for s in "ab":
         near = near.join(index.select("tok", *(F.col(c).alias(f"{c}_{s}") for c in ("bucket", "comp", "cid", "pos", "size"))), ["tok", f"bucket_{s}", f"comp_{s}"])
     second = near.where(_may_link(num, den, "size_a", "pos_a", "size_b", "pos_b")).select(F.least("cid_a", "cid_b").alias("a"), F.greatest("cid_a", "cid_b").alias("b"))
-    more = verified(texts, second, folder, "blocks", width, num, den)
+    more = verified(texts, signed, second, folder, "blocks", width, num, den)
     if more.limit(1).count():
         linked = components(links.unionByName(more), folder, "components")
-    return told.drop("prefix").join(linked.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.when(F.col("size") > 0, F.coalesce("comp", "cid")))
+    return told.drop("prefix", "parity").join(linked.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.when(F.col("size") > 0, F.coalesce("comp", "cid")))
 
 
 def digests(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100, folder: str | None = None) -> DataFrame:
