@@ -8,9 +8,10 @@ import math
 import re
 import zlib
 
+import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, jaccard, langid, maxent, minhash, substring
+from tessera.llm import bpe, decontaminate, jaccard, langid, maxent, minhash, substring
 from tessera.llm.common import held_out
 
 from . import data
@@ -18,6 +19,15 @@ from . import data
 key = lambda x: -1 if x is None else x
 
 
+def reference_ids(text):
+    import tiktoken
+
+    P = pytest.importorskip("public_tokenizers")
+    if not hasattr(reference_ids, "model"):
+        reference_ids.model = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.ranks(P.path("byte_bpe_multi_50k.tiktoken")), special_tokens={})
+    return reference_ids.model.encode_ordinary(text or "")
+
+
 def shingles(text, width):
     w = data.words(data.lowered(text))
     return frozenset(tuple(w[i : i + width]) for i in range(len(w) - width + 1)) if len(w) >= width else frozenset([tuple(w)] if w else [])
