@@ -142,22 +142,8 @@ def _may_link(num: int, den: int, size_a: str, pos_a: str, size_b: str, pos_b: s
     return (F.least(a, b) * den >= F.greatest(a, b) * num) & (rest * (num + den) >= num * (a + b))
 
 
-def grouped(docs: DataFrame, folder: str, width: int, num: int, den: int, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Per row: the columns in keep, doc_id, size, cid, comp (a component of classes, null for an empty set)."""
-    spark = docs.sparkSession
-    prepare(spark)
-    docs = docs.select(*[c for c in keep or [] if c not in (doc_id, text)], F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    texts = docs.select("text")
-    counts = rarity(texts, width)
-    told = checkpointed(described(docs, counts, width, num, den), folder, "documents")
-    classes = told.where("size > 0").groupBy("cid").agg(F.first("size").alias("size"), F.first("prefix").alias("prefix"))
-    signed = checkpointed(told.where("size > 0").groupBy("cid").agg(F.first("size").alias("size"), F.first("parity").alias("parity")), folder, "signed")
-    bucket = F.floor(F.log(F.col("size").cast("double")) / float(np.log(den / num))).cast("int")
-    listed = classes.select("cid", "size", bucket.alias("bucket"), F.posexplode("prefix").alias("pos", "tok"))
-    listed = checkpointed(listed, folder, "listed")
-    often = listed.groupBy("tok").agg(F.count("*").alias("n")).where("n > 1").select("tok")
-    index = checkpointed(listed.join(often, "tok"), folder, "index")
-
+def connected(texts: DataFrame, index: DataFrame, signed: DataFrame, folder: str, width: int, num: int, den: int) -> DataFrame:
+    """(node, comp) of classes that link and share a list. index: tok, bucket (of sizes), cid, size, pos (least possible place of a common shingle)."""
     # Each class against the hubs of its lists: the least position in each block of sizes.
     hub = index.groupBy("tok", "bucket").agg(F.min(F.struct("pos", "size", "cid")).alias("hub"))
     hubs = hub.select("tok", F.explode(F.array(F.col("bucket") - 1, F.col("bucket"), F.col("bucket") + 1)).alias("bucket"), F.col("hub.pos").alias("hp"), F.col("hub.size").alias("hs"), F.col("hub.cid").alias("b"))
@@ -178,6 +164,26 @@ def grouped(docs: DataFrame, folder: str, width: int, num: int, den: int, doc_id
     more = verified(texts, signed, second, folder, "blocks", width, num, den)
     if more.limit(1).count():
         linked = components(links.unionByName(more), folder, "components")
+    return linked
+
+
+def grouped(docs: DataFrame, folder: str, width: int, num: int, den: int, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """Per row: the columns in keep, doc_id, size, cid, comp (a component of classes, null for an empty set)."""
+    spark = docs.sparkSession
+    prepare(spark)
+    docs = docs.select(*[c for c in keep or [] if c not in (doc_id, text)], F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    texts = docs.select("text")
+    counts = rarity(texts, width)
+    told = checkpointed(described(docs, counts, width, num, den), folder, "documents")
+    classes = told.where("size > 0").groupBy("cid").agg(F.first("size").alias("size"), F.first("prefix").alias("prefix"))
+    signed = checkpointed(told.where("size > 0").groupBy("cid").agg(F.first("size").alias("size"), F.first("parity").alias("parity")), folder, "signed")
+    bucket = F.floor(F.log(F.col("size").cast("double")) / float(np.log(den / num))).cast("int")
+    listed = classes.select("cid", "size", bucket.alias("bucket"), F.posexplode("prefix").alias("pos", "tok"))
+    listed = checkpointed(listed, folder, "listed")
+    often = listed.groupBy("tok").agg(F.count("*").alias("n")).where("n > 1").select("tok")
+    index = checkpointed(listed.join(often, "tok"), folder, "index")
+
+    linked = connected(texts, index, signed, folder, width, num, den)
     return told.drop("prefix", "parity").join(linked.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.when(F.col("size") > 0, F.coalesce("comp", "cid")))
 
 

@@ -4,8 +4,7 @@ A text's shingles are its runs of WIDTH words (A-Z lower-cased); a text with few
 as one; a text without words has none. Each of PERMUTATIONS universal hashes x -> a*x + b modulo
 2**32, a odd, permutes the shingles' 32-bit hashes, and the least value of each is kept, of which
 the fingerprint shows 8 bits in hexadecimal. Likeness of fingerprints is the share of equal bytes,
-less the 1/256 of chance. Bands of signatures find near-duplicates in Spark; their exact Jaccard is
-verified on the shingles.
+less the 1/256 of chance. bands.py joins bands of signatures in Spark and verifies Jaccard.
 
 Null is empty; empty texts are alike (1.0). In descending order of doc_id null comes last, and ties
 are ordered by text. Repeated rows are rows like others. The only row is its own next. An empty
@@ -26,7 +25,7 @@ from .common import prepare, slices
 from .textkernel import Words, expand, raw_bytes, window_hashes, within, words
 
 PERMUTATIONS, WIDTH = 128, 5
-BANDS, ROWS = 16, 8
+BANDS = 32
 _rng = np.random.Generator(np.random.PCG64(42))
 _A = _rng.integers(0, 2**31, PERMUTATIONS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _B = _rng.integers(0, 2**32, PERMUTATIONS, dtype=np.uint32)

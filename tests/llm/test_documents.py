@@ -11,7 +11,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, decontaminate, jaccard, langid, maxent, minhash, substring
+from tessera.llm import bands, bpe, decontaminate, jaccard, langid, maxent, minhash, substring
 from tessera.llm.common import held_out
 
 from . import data
@@ -78,6 +78,15 @@ def test_jaccard_join(spark):
     assert jaccard.digests(data.frame(spark, []).limit(0)).count() == 0
 
 
+def test_bands_find_near_duplicates(spark):
+    rows = data.rows() + near_copies()
+    sets, top = components(rows, 5, 80, 100)
+    least = {t: min((r[0] for r, x in zip(rows, top, strict=True) if x == t and r[0] is not None), default=None) for t in top}
+    want = sorted((key(r[0]), len(s), key(least[t] if s else r[0])) for r, s, t in zip(rows, sets, top, strict=True))
+    assert sorted((key(r["doc_id"]), r["n_shingles"], key(r["class_id"])) for r in bands.near_duplicates(data.frame(spark, rows)).collect()) == want
+    assert bands.near_duplicates(data.frame(spark, [])).count() == 0
+
+
 def test_one_of_each_near_duplicate_stays(spark):
     rows = data.rows() + near_copies()
     sets, top = components(rows, 5, 80, 100)
