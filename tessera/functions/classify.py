@@ -99,3 +99,34 @@ def jurisdiction(jurisdiction: Column, venue: Column, court: Column) -> Column:
     group = F.when(blob == "", "Unknown").when(federal, "Federal").when(local, "State").otherwise("Unknown")
     label = F.when(blob == "", "Unknown").when(federal, dash("Federal")).when(local, dash("State")).when(state.isNotNull(), F.concat(state, F.lit(" (court unclear)"))).otherwise("Unknown")
     return F.struct(group.alias("group"), label.alias("label"))
+
+
+# --- Fixed values: sentences of a row's description ----------------------------------------------
+EVENT_PHRASE = {
+    "judgment_entered": "A court entered judgment", "judgment_proposed": "A proposed judgment was filed (not yet entered)", "jury_verdict": "A jury returned a verdict",
+    "appeal_filed": "An appeal was filed", "settlement_reached": "The parties reached a settlement", "settlement_preliminary_approval": "A settlement got preliminary approval",
+    "settlement_final_approval": "A settlement was finally approved", "enforcement_action": "A regulator brought an enforcement action",
+    "plan_confirmation": "A bankruptcy plan was confirmed", "case_filed": "A case was filed", "no_event": "No decided event yet",
+}
+THESIS_PHRASE = {
+    "judgment_monetization": "could support judgment or appeal funding", "post_settlement": "could support a settlement-receivable purchase",
+    "antitrust_followon": "could lead to follow-on antitrust damages", "none": "no clear funding angle",
+}
+AREA_PHRASE = {"antitrust": "antitrust", "commercial": "commercial", "bankruptcy": "bankruptcy", "securities": "securities", "other": "", "unknown": ""}
+
+
+def description(event_type: Column, thesis: Column, area: Column, place: Column, amount_text: Column, is_public: Column) -> Column:
+    """One sentence of what a row is; total, so every row has one."""
+    kind = lookup(area, AREA_PHRASE, "")
+    article = F.when(kind.rlike("^[aeiou]"), "an ").otherwise("a ")
+    where = F.coalesce(strip(place), F.lit(""))
+    said = lookup(thesis, THESIS_PHRASE, "")
+    return F.concat(
+        lookup(event_type, EVENT_PHRASE, "Something happened"),
+        F.when(kind != "", F.concat(F.lit(" in "), article, kind, F.lit(" matter"))).otherwise(""),
+        F.when(where != "", F.concat(F.lit(" in "), where)).otherwise(""),
+        F.lit("."),
+        F.when(F.coalesce(amount_text, F.lit("")) != "", F.concat(F.lit(" Stated amount "), amount_text, F.lit("."))).otherwise(" No amount stated."),
+        F.when(said != "", F.concat(F.when(thesis != "none", " It ").otherwise(" Currently "), said, F.lit("."))).otherwise(""),
+        F.when(F.coalesce(is_public, F.lit(False)), " Defendant is a public company.").otherwise(""),
+    )

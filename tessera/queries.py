@@ -413,3 +413,59 @@ def search_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Postings of an inverted index, for a few tokens."""
     rows = A.read(spark, sf_dir, "documents").select("doc_id", F.explode(F.split(F.lower("text"), " ")).alias("token")).where(F.col("token").isin("the", "der", "los", "les", "license."))
     return rows.groupBy("token", "doc_id").agg(F.count("*").alias("n")).groupBy("token").agg(F.count("*").alias("docs"), F.sum("n").alias("tf"))
+
+
+# --- Descriptions, policy, JSON arrays, absorption, streams --------------------------------------
+_DESCRIBED_SQL = f"""SELECT item_uid, {_case('event_type', classify.EVENT_PHRASE, 'Something happened')}
+  || CASE WHEN ar <> '' THEN ' in ' || CASE WHEN ar LIKE 'a%' THEN 'an ' ELSE 'a ' END || ar || ' matter' ELSE '' END || ' in ' || venue || '.'
+  || CASE WHEN damages_usd IS NULL THEN ' No amount stated.' ELSE ' Stated.' END || ' It ' || {_case('deal_thesis', classify.THESIS_PHRASE, '')} || '.' || CASE WHEN is_public THEN ' Defendant is a public company.' ELSE '' END AS sentence
+  FROM (SELECT *, {_case('practice_area', classify.AREA_PHRASE, '')} AS ar FROM ({A.EXTRACTIONS_SQL}))"""
+
+
+@query(_DESCRIBED_SQL)
+def describe_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stated = F.when(F.col("damages_usd").isNotNull(), "#")
+    sentence = classify.description(F.col("event_type"), F.col("deal_thesis"), F.col("practice_area"), F.col("venue"), stated, F.col("is_public"))
+    return A.extractions(spark, sf_dir).select("item_uid", F.replace(sentence, F.lit(" Stated amount #."), F.lit(" Stated.")).alias("sentence"))
+
+
+@query("SELECT s_suppkey, CASE WHEN st = 'prohibited' THEN 'prohibited' WHEN st = 'research_only' AND s_suppkey % 2 = 0 THEN 'research only' WHEN st = 'unverified' AND s_suppkey % 3 <> 0 THEN 'unverified' WHEN s_suppkey % 10 = 9 THEN 'review expired' ELSE 'allowed' END AS gate FROM (SELECT s_suppkey, CASE s_nationkey % 4 WHEN 0 THEN 'prohibited' WHEN 1 THEN 'research_only' WHEN 2 THEN 'approved' ELSE 'unverified' END AS st FROM supplier)")
+def policy_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, n = F.col("s_suppkey"), F.col("s_nationkey")
+    status = F.when(n % 4 == 0, "prohibited").when(n % 4 == 1, "research_only").when(n % 4 == 2, "approved")
+    why = tasks.allowed(status, F.when(k % 2 == 0, "production").otherwise("research"), k % 3 == 0, k % 10 == 9)
+    return A.read(spark, sf_dir, "supplier").select("s_suppkey", F.coalesce(why, F.lit("allowed")).alias("gate"))
+
+
+@query("SELECT page_id, url LIKE 'http%://%.example.org/%' OR regexp_matches(url, '^https?://[^/]*/en/[0-9]') AS in_scope FROM pages")
+def url_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.read(spark, sf_dir, "pages").select("page_id", (F.col("url").like("http%://%.example.org/%") | F.col("url").rlike("^https?://[^/]*/en/[0-9]")).alias("in_scope"))
+
+
+@query("SELECT o_custkey, count(*) AS n, list_aggregate(list_sort(list(o_orderkey)), 'string_agg', ',') AS affiliates FROM orders GROUP BY 1")
+def affiliates_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON of a lead with nested affiliates, built, read back and flattened."""
+    names = F.transform(F.array_sort(F.collect_list("o_orderkey")), lambda x: F.struct(x.cast("string").alias("name")))
+    built = A.read(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.to_json(F.struct(names.alias("sub"))).alias("j"))  # a customer's orders are few
+    read = F.from_json("j", "sub array<struct<name: string>>")["sub"]
+    return built.select("o_custkey", F.size(read).cast("long").alias("n"), F.array_join(F.transform(read, lambda x: x["name"]), ",").alias("affiliates"))
+
+
+@query("SELECT 'cap:' || p_brand || ' ' || p_size || ' v smith' AS short, max('cap:' || p_brand || ' ' || p_size || ' v smith ' || p_name) AS target FROM part GROUP BY p_brand, p_size HAVING count(DISTINCT p_name) = 1")
+def absorb_et_al(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Open-ended captions with one extension."""
+    p = A.read(spark, sf_dir, "part")
+    short = p.select(F.concat(F.lit("cap:"), "p_brand", F.lit(" "), F.col("p_size").cast("string"), F.lit(" v smith")).alias("cluster_key"), F.lit(True).alias("all_open"))
+    long = p.select(F.concat(F.lit("cap:"), "p_brand", F.lit(" "), F.col("p_size").cast("string"), F.lit(" v smith "), "p_name").alias("cluster_key"), F.lit(False).alias("all_open"))
+    return cluster.absorptions(short.unionByName(long).distinct())
+
+
+@query("SELECT DISTINCT event_type, user_id FROM events")
+def key_state_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.read(spark, sf_dir, "events").select("event_type", "user_id").dropDuplicates(["event_type", "user_id"])
+
+
+@query("SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def hourly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = A.read(spark, sf_dir, "events")
+    return e.groupBy(F.window("ts", "1 hour"), "event_type").agg(F.count("*").alias("n")).select(F.col("window.start").alias("hour"), "event_type", "n")
