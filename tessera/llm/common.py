@@ -77,21 +77,33 @@ def slices(batches: Iterable[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
             yield batch.slice(begin)
 
 
-#: Pieces that arrays are cut into for sums over all tasks.
-PIECES = 16
+#: Pieces that arrays are cut into for sums over all tasks, and arrays that one task of a level adds up.
+PIECES, FAN_IN = 16, 32
 
 
 def array_sums(rows: DataFrame, kinds: list[type], combine: Callable[[list[np.ndarray]], list[np.ndarray]] = lambda x: x) -> list[np.ndarray]:
-    """Sums of arrays that rows hold as bytes, a column each of kinds; summed piece by piece on executors.
+    """Sums of arrays that rows hold as bytes, a column each of kinds; summed piece by piece in a tree.
 
-    combine maps a row's arrays, cut to a piece, to the arrays that are summed. The driver gets each
-    sum once, in pieces.
+    combine maps a row's arrays, cut to a piece, to the arrays that are summed. A task of a level reads
+    FAN_IN arrays' pieces at most, whatever the number of rows' partitions; the driver gets each sum
+    once, in pieces.
     """
 
-    def pieces(row: tuple) -> Iterator[tuple[int, list[np.ndarray]]]:
-        arrays = [np.frombuffer(x, k).reshape(PIECES, -1) for x, k in zip(row, kinds, strict=True)]
-        for i in range(PIECES):
-            yield i, combine([a[i] for a in arrays])
-
-    found = dict(rows.rdd.flatMap(lambda r: pieces(tuple(r))).reduceByKey(lambda a, b: [x + y for x, y in zip(a, b, strict=True)], PIECES).collect())
+    def pieces(part: int, given: Iterator[tuple]) -> Iterator[tuple[tuple[int, int], list[np.ndarray]]]:
+        for row in given:
+            arrays = [np.frombuffer(x, k).reshape(PIECES, -1) for x, k in zip(row, kinds, strict=True)]
+            for i in range(PIECES):
+                yield (i, part), combine([a[i] for a in arrays])
+
+    def add(a: list[np.ndarray], b: list[np.ndarray]) -> list[np.ndarray]:
+        return [x + y for x, y in zip(a, b, strict=True)]
+
+    left = rows.rdd
+    n, left = left.getNumPartitions(), left.mapPartitionsWithIndex(pieces)
+    while True:
+        n = -(-n // FAN_IN)
+        left = left.map(lambda x: ((x[0][0], x[0][1] // FAN_IN), x[1])).reduceByKey(add, PIECES * n)
+        if n <= 1:
+            break
+    found = {i: v for (i, _), v in left.collect()}
     return [np.concatenate(x) for x in zip(*(found[i] for i in range(PIECES)), strict=True)] if found else []
