@@ -52,6 +52,13 @@ def checkpointed(df: DataFrame, folder: str, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(spark: SparkSession, folder: str, *names: str) -> None:
+    """Delete tables of the folder that nothing reads any more."""
+    for name in names:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def held_out(doc_id: Column | str, modulus: int, remainder: int) -> Column:
     """crc32 of doc_id as text mod modulus is remainder; a null doc_id counts as the text ''."""
     col = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bitfilter, minhash
-from .common import array_sums, checkpointed, prepare, shared_dir, slices
+from .common import array_sums, checkpointed, dropped, prepare, shared_dir, slices
 from .components import components
 from .textkernel import U, mix, words
 
@@ -132,7 +132,9 @@ def verified(docs: DataFrame, signed: DataFrame, pairs: DataFrame, folder: str,
     found = checkpointed(found.join(asked, "cid", "left_semi"), folder, f"{name}-sets")
     both = pairs.join(found.select(F.col("cid").alias("a"), F.col("s").alias("sa")), "a").join(found.select(F.col("cid").alias("b"), F.col("s").alias("sb")), "b")
     common = F.size(F.array_intersect("sa", "sb"))
-    return checkpointed(both.withColumn("common", common).where(F.col("common") * den >= (F.size("sa") + F.size("sb") - F.col("common")) * num).select("a", "b"), folder, f"{name}-links")
+    links = checkpointed(both.withColumn("common", common).where(F.col("common") * den >= (F.size("sa") + F.size("sb") - F.col("common")) * num).select("a", "b"), folder, f"{name}-links")
+    dropped(spark, folder, f"{name}-sets", f"{name}-pairs")
+    return links
 
 
 def _may_link(num: int, den: int, size_a: str, pos_a: str, size_b: str, pos_b: str) -> Column:
@@ -183,7 +185,9 @@ def grouped(docs: DataFrame, folder: str, width: int, num: int, den: int, doc_id
     often = listed.groupBy("tok").agg(F.count("*").alias("n")).where("n > 1").select("tok")
     index = checkpointed(listed.join(often, "tok"), folder, "index")
 
+    dropped(spark, folder, "listed")
     linked = connected(texts, index, signed, folder, width, num, den)
+    dropped(spark, folder, "index", "signed", "blocked")
     return told.drop("prefix", "parity").join(linked.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.when(F.col("size") > 0, F.coalesce("comp", "cid")))
 
 
