@@ -2,20 +2,24 @@
 
 Every distinct match of the pattern that a task meets becomes token-position rows, one for each
 byte. A recursive query joins neighbouring rows with the merge table and contracts each word's
-leftmost pair of least rank, until no word has a pair left. Decoding joins ids with the vocabulary
-and concatenates the bytes in an ordered aggregation. Only numpy gathers stand between the distinct
-words and the documents.
+leftmost pair of least rank, until no word has a pair left. The recursion keeps the rows of all its
+steps, so one query's words are bounded by those rows, and matches of more than LONG bytes are
+contracted in the same order from a heap, in memory linear in their length. Decoding joins ids with
+the vocabulary and concatenates the bytes in an ordered aggregation, a bounded piece of the ids at a
+time. Only numpy gathers stand between the distinct words and the documents.
 
 Nulls and empty texts have no tokens. Rows are independent, so ties, repeated rows and null ids of
-documents change nothing; an empty table gives no rows. Texts need not hold any spaces, but one
-match of n bytes takes up to n contractions.
+documents change nothing; an empty table gives no rows. Texts need not hold any spaces, and a match
+may be of any length: n bytes take up to n contractions.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +34,12 @@ from .textkernel import expand, span_hashes
 #: Text bytes encoded at once; with the cache and DuckDB's limit this keeps a worker near 400 MB.
 SLICE = 3 << 18
 CACHE_ENTRIES = 250_000
-#: Bytes of distinct words in one recursive query.
-QUERY_BYTES = 60_000
+#: Values that a cache may hold before it is emptied, for entries of any length.
+CACHE_VALUES = 1 << 22
+#: Bytes of distinct words in one recursive query, rows of all its steps at most, and bytes of its longest word.
+QUERY_BYTES, QUERY_ROWS, LONG = 60_000, 500_000, 128
+#: Bytes decoded by one query; an id counts as four at least.
+DECODE_BYTES = 800_000
 _workers: dict[tuple[str, str], "DuckBpe"] = {}
 
 ENCODE = """
@@ -75,6 +83,8 @@ class DuckBpe:
         self.find = regex.compile(pattern).findall
         self.db = connect()
         self.byte_id = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
+        self.width = np.zeros(max(self.ranks.values()) + 1, np.int64)
+        self.width[list(self.ranks.values())] = [len(t) for t in self.ranks]
         pairs = [(self.ranks[t[:k]], self.ranks[t[k:]], i) for t, i in self.ranks.items() for k in range(1, len(t)) if t[:k] in self.ranks and t[k:] in self.ranks]
         a, b, r = (pa.array(x, pa.int32()) for x in zip(*pairs, strict=True))
         self._fill("merges", pa.table({"a": a, "b": b, "key": pa.array(r.to_numpy().astype(np.int64) << 32)}))
@@ -90,10 +100,14 @@ class DuckBpe:
     def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Sizes and ids of distinct words: those in the vocabulary at once, the rest by contraction."""
         known = np.array([self.ranks.get(w, -1) for w in words], np.int64)
+        size = np.array([len(w) for w in words], np.int64)
         sizes, out = np.ones(len(words), np.int32), [np.zeros(0, np.int32)] * len(words)
-        open_ = np.flatnonzero(known < 0)
-        held = np.cumsum([len(words[i]) for i in open_]) if len(open_) else np.zeros(0, np.int64)
-        for part in np.split(open_, np.flatnonzero(np.diff(held // QUERY_BYTES)) + 1):
+        for i in np.flatnonzero((known < 0) & (size > LONG)).tolist():
+            out[i] = self.contract(words[i])
+            sizes[i] = len(out[i])
+        open_ = np.flatnonzero((known < 0) & (size <= LONG))
+        held, steps = np.cumsum(size[open_]) // QUERY_BYTES, np.cumsum(size[open_] * (size[open_] + 1) // 2) // QUERY_ROWS
+        for part in np.split(open_, np.flatnonzero(np.diff(held) | np.diff(steps)) + 1):
             if not len(part):
                 continue
             data = [words[i] for i in part.tolist()]
@@ -110,6 +124,26 @@ class DuckBpe:
             out[i] = known[i : i + 1].astype(np.int32)
         return sizes, np.concatenate(out) if out else np.zeros(0, np.int32)
 
+    def contract(self, word: bytes) -> np.ndarray:
+        """Ids of one word: its leftmost pair of least rank is contracted until none is left, as in ENCODE."""
+        n, rank = len(word), self.ranks.get
+        after, before = array("i", range(1, n + 1)), array("i", range(-1, n - 1))  # starts of a token's neighbours; after is 0 for a start that is gone
+        heap = [r << 32 | i for i in range(n - 1) if (r := rank(word[i : i + 2])) is not None]
+        heapify(heap)
+        while heap:
+            key = heappop(heap)
+            i = key & 0xFFFFFFFF
+            gone = after[i]
+            if not 0 < gone < n or rank(word[i : after[gone]]) != key >> 32:
+                continue  # that pair is no more
+            after[i], after[gone] = after[gone], 0
+            if after[i] < n:
+                before[after[i]] = i
+            for a in (before[i], i):
+                if a >= 0 and after[a] < n and (r := rank(word[a : after[after[a]]])) is not None:
+                    heappush(heap, r << 32 | a)
+        return np.array([rank(word[i : after[i]]) for i in range(n) if after[i]], np.int32)
+
     def __call__(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sizes and ids of chunks: their matches are encoded, each distinct one once."""
         raw, long = bytearray(), []
@@ -123,7 +157,7 @@ class DuckBpe:
         flat = np.frombuffer(bytes(raw), np.uint8)
         begins = ends - np.array(long, np.int64)
         keys, at, inverse = np.unique(span_hashes(flat, begins, ends, 3), return_index=True, return_inverse=True)
-        if self.words.entries + len(keys) > self.words.limit:
+        if self.words.entries + len(keys) > self.words.limit or self.words.used > CACHE_VALUES:
             self.words.clear()
         entry = self.words.find(keys)
         new = np.flatnonzero(entry < 0)
@@ -134,18 +168,21 @@ class DuckBpe:
         return np.diff(after).astype(np.int32), ids
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if self.chunks.used > CACHE_VALUES:
+            self.chunks.clear()
         return chunks.encode(texts, self.chunks, self)
 
     def decode(self, ids: np.ndarray, first: np.ndarray) -> list[bytes]:
-        """The bytes of each row of ids."""
-        counts = np.diff(first)
-        done = [b""] * len(counts)
-        for part in np.split(np.arange(len(counts)), np.flatnonzero(np.diff(first[1:] // 200_000)) + 1):
-            lo, hi = int(first[part[0]]) if len(part) else 0, int(first[part[-1] + 1]) if len(part) else 0
+        """The bytes of each row of ids; a row may lie in several pieces."""
+        done, row = [b""] * (len(first) - 1), np.repeat(np.arange(len(first) - 1, dtype=np.int32), np.diff(first))
+        ids = ids[int(first[0]) : int(first[-1])].astype(np.int32)
+        held = np.cumsum(np.maximum(4, self.width[np.clip(ids, 0, len(self.width) - 1)])) // DECODE_BYTES
+        edges = [0, *(np.flatnonzero(np.diff(held)) + 1).tolist(), len(ids)]
+        for lo, hi in zip(edges, edges[1:], strict=False):
             if hi > lo:
-                self.db.register("ids", pa.table({"w": np.repeat(part, counts[part]).astype(np.int32), "p": np.arange(lo, hi), "t": ids[lo:hi].astype(np.int32)}))
+                self.db.register("ids", pa.table({"w": row[lo:hi], "p": np.arange(lo, hi), "t": ids[lo:hi]}))
                 for w, b in self.db.execute(DECODE).fetchall():
-                    done[w] = b
+                    done[w] += b
                 self.db.unregister("ids")
         return done
 
@@ -161,7 +198,7 @@ class DuckBpe:
         start = np.flatnonzero(begin)
         end = np.append(start[1:], len(ids))
         keys, at, inverse = np.unique(span_hashes(ids.astype("<u4").view(np.uint8), start * 4, end * 4, 5), return_index=True, return_inverse=True)
-        if self.sequences.entries + len(keys) > self.sequences.limit:
+        if self.sequences.entries + len(keys) > self.sequences.limit or self.sequences.used > CACHE_VALUES:
             self.sequences.clear()
         entry = self.sequences.find(keys)
         new = np.flatnonzero(entry < 0)

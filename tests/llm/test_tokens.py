@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import zlib
 
 import numpy as np
@@ -96,6 +97,30 @@ def test_bpe_queries(spark):
     assert bpe.digests(docs.limit(0), path, P.PATTERN, ["doc_id"]).count() == 0
 
 
+def test_bpe_of_long_matches_and_documents_without_spaces():
+    rng, enc = random.Random(5), reference()
+    own = bpe.DuckBpe(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    word = lambda n, letters="ACGTacgt日本語é": "".join(rng.choice(letters) for _ in range(n))
+    texts = [word(50_000, "acgt"), word(20_000), *[word(900) for _ in range(60)], *[word(200, "etaoinsr") for _ in range(300)], *[word(n, "etaoins") for n in range(100, 140) for _ in range(40)], "ab" * 3000]
+    ids, first = own.encode(pa.array(texts))
+    for i, t in enumerate(texts):
+        assert ids[first[i] : first[i + 1]].tolist() == enc.encode_ordinary(t)
+    back, edge = own.decode_documents(ids, first)
+    assert [back[a:b].tobytes() for a, b in zip(edge, edge[1:], strict=False)] == [t.encode() for t in texts]
+
+
+def test_bpe_decodes_millions_of_ids_without_spaces():
+    own = bpe.DuckBpe(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    letters = np.frombuffer(b"acgtxyz", np.uint8)[np.arange(2_500_000) * 7919 % 7]
+    ids, first = own.byte_id[letters], np.array([0, 3, 2_000_003, 2_000_003, 2_500_000])
+    want = [letters[a:b].tobytes() for a, b in zip(first, first[1:], strict=False)]
+    assert own.decode(ids, first) == want
+    back, edge = own.decode_documents(ids, first)
+    assert [back[a:b].tobytes() for a, b in zip(edge, edge[1:], strict=False)] == want
+    wide = np.repeat(np.int32(max(own.ranks.items(), key=lambda x: len(x[0]))[1]), 300_000)  # the longest token
+    assert own.decode(wide, np.array([0, len(wide)])) == [max(own.ranks, key=len) * len(wide)]
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.text(alphabet="aA \n\x0bé\x1f", max_size=20) | st.none(), max_size=6), st.booleans())
 def test_words_and_windows(texts, lower):
