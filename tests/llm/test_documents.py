@@ -177,6 +177,30 @@ def test_decontamination(spark):
     assert decontaminate.found(data.frame(spark, []), bench, ["doc_id"]).count() == 0
 
 
+def test_decontamination_of_short_items_and_unspaced_scripts(spark):
+    unspaced = "[\u0e00-\u0eff\u3040-\u30ff\u4e00-\u9fff]"
+    items = [(1, "alpha"), (2, "beta gamma"), (3, "one two three"), (4, "w1 w2 w3 w4"), (5, "a1 a2 a3 a4 a5"), (6, "b1 b2 b3 b4 b5 b6"), (7, "c1 c2 c3 c4 c5 c6 c7"), (8, "東京は日本の首都です"), (9, "สวัสดีครับ"), (10, "首都"), (11, "!?"), (12, None)]
+    texts = ["x alpha y", "beta gamma", "beta x gamma", "so one two three.", "w1 w2 w3", "w1 w2 W3 w4 z", "これは東京は日本の首都です。", "abc東京は日本の都都ですabc", "พูดสวัสดีครับนะ", "日本", None, ""]
+    for _, t in items[4:7]:
+        w = t.split()
+        for changes in [(), *[(p,) for p in range(len(w))], (0, 1), (1, len(w) - 1)]:
+            texts.append("q r " + " ".join("zz" if i in changes else x for i, x in enumerate(w)) + " s")
+    cut = lambda t: re.findall(f"{unspaced}|(?:(?!{unspaced})[^\\W_])+", (t or "").lower())
+    want = set()
+    for d, t in enumerate(texts):
+        w = cut(t)
+        for i, it in items:
+            x = cut(it)
+            if x and any(5 * sum(a == b for a, b in zip(w[o : o + len(x)], x, strict=True)) >= 4 * len(x) for o in range(len(w) - len(x) + 1)):
+                want.add((d, i))
+    assert {(0, 1), (1, 2), (3, 3), (5, 4), (6, 8), (7, 8), (8, 9), (6, 10)} <= want and not {(2, 2), (4, 4)} & want
+    docs, bench = data.frame(spark, [(d, t, *[None] * 11) for d, t in enumerate(texts)]), spark.createDataFrame(items, "item_id long, text string")
+    for most in (decontaminate.MOST_SEEDS, 0):
+        assert {(r["doc_id"], r["item_id"]) for r in decontaminate.found(docs, bench, ["doc_id"], most_seeds=most).collect()} == want
+    kept = {r["doc_id"] for r in decontaminate.clean(docs, bench).collect()}
+    assert kept == set(range(len(texts))) - {d for d, _ in want}
+
+
 def test_decontamination_runs_no_python(spark):
     docs, items = contaminated()
     df = decontaminate.found(data.frame(spark), spark.createDataFrame(items, "item_id long, text string"), ["doc_id"])
