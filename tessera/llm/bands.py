@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import jaccard, minhash
-from .common import checkpointed, prepare, shared_dir, slices
+from .common import checkpointed, dropped, prepare, shared_dir, slices
 from .textkernel import U, mix
 
 
@@ -39,7 +39,7 @@ def described(docs: DataFrame, width: int) -> DataFrame:
             kept = np.where(size > 0, k, 0)
             edge = np.concatenate([[0], np.cumsum(kept)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(size, pa.int64()), jaccard._struct(*jaccard.class_ids(h, first)), pa.ListArray.from_arrays(pa.array(edge), pa.array(bands(h, first)[size > 0].reshape(-1).view(np.int64))), pa.ListArray.from_arrays(pa.array(np.arange(len(first), dtype=np.int32) * jaccard.PARITY_WORDS), pa.array(jaccard.parities(h, first)))],
+                [batch.column("doc_id"), pa.array(size, pa.int64()), jaccard._struct(*jaccard.class_ids(h, first)), pa.ListArray.from_arrays(pa.array(edge), pa.array(bands(h, first)[size > 0].reshape(-1).view(np.int64))), jaccard.parities(h, first)],
                 names=["doc_id", "size", "cid", "bands", "parity"],
             )
 
@@ -52,14 +52,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     prepare(spark)
     folder = folder or shared_dir(spark)
     docs = docs.select("doc_id", "text")
-    told = checkpointed(described(docs, width), folder, "banded")
-    classes = told.where("size > 0").groupBy("cid").agg(F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("parity").alias("parity"))
-    classes = checkpointed(classes, folder, "classes")
-    bucket = F.floor(F.log(F.col("size").cast("double")) / float(np.log(den / num))).cast("int")
-    listed = classes.select("cid", "size", bucket.alias("bucket"), F.lit(0).alias("pos"), F.explode("bands").alias("tok"))
-    often = listed.groupBy("tok").agg(F.count("*").alias("n")).where("n > 1").select("tok")
-    index = checkpointed(listed.join(often, "tok"), folder, "index")
+    wide = checkpointed(described(docs, width), folder, "banded")
+    classes = checkpointed(wide.where("size > 0").groupBy("cid").agg(*[F.first(c).alias(c) for c in ("size", "bands", "parity")]), folder, "classes")
+    told = checkpointed(wide.drop("bands", "parity"), folder, "documents")
+    dropped(spark, folder, "banded")
+    index = jaccard.listed(classes, folder, "bands", num, den).withColumn("pos", F.lit(0))
     linked = jaccard.connected(docs.select("text"), index, classes.select("cid", "size", "parity"), folder, width, num, den)
-    found = told.join(linked.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.when(F.col("size") > 0, F.coalesce("comp", "cid")))
-    least = found.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("class_id"))
-    return found.join(least, "comp", "left").select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
+    dropped(spark, folder, "classes")
+    best = jaccard.by_component(told, linked, folder, F.col("doc_id"))
+    return told.join(best, "cid", "left").select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("size") == 0, F.col("doc_id")).otherwise(F.col("best")).alias("class_id"))

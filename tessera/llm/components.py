@@ -1,11 +1,14 @@
-"""Connected components of links by alternating stars; nodes may be of any type that orders."""
+"""Connected components of links by alternating stars; nodes may be of any type that orders.
+
+Links with a null end, from a node to itself, or repeated add nothing; without links there are no rows.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import checkpointed, dropped
 
 
 def components(links: DataFrame, folder: str, name: str) -> DataFrame:
@@ -27,3 +30,4 @@ def components(links: DataFrame, folder: str, name: str) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         edges = checkpointed(small.distinct(), folder, f"{name}-{k}")
+        dropped(links.sparkSession, folder, f"{name}-{k - 1}")

@@ -13,7 +13,11 @@ sets of least position. A class that links with a hub takes over the hub's compo
 on only blocks of different components are compared, so that a group of near copies costs as many
 comparisons as it has members. Every pair that may link and isn't connected already is verified: first
 on parity signatures (bits in which two differ are at most the shingles in which the sets differ, so
-no link is lost), then on whole sets. Shingles are 64-bit hashes, classes 128-bit ones.
+no link is lost; a set has as many bits as shingles, up to a power of two), then on whole sets, made
+from the two texts. Shingles are 64-bit hashes, classes 128-bit ones.
+
+Only shingles of more than one class are listed: a Bloom filter of those, of a bounded size, tells; what
+it lets pass wrongly stands in a list of its own.
 
 Rarity is estimated from counts of 2**SKETCH_BITS buckets over all documents; the order affects only
 speed. Null texts and texts without words have empty sets and link with nothing. Repeated rows are
@@ -26,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bitfilter, minhash
@@ -35,8 +39,8 @@ from .components import components
 from .textkernel import U, mix, words
 
 SKETCH_BITS = 20
-#: 64-bit words of a set's parity signature.
-PARITY_WORDS = 16
+#: 64-bit words of a parity signature at least; a power of two.
+LEAST_WORDS = 4
 _CLASS = "struct<x:long,y:long>"
 
 
@@ -55,12 +59,21 @@ def class_ids(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return out[0], out[1]
 
 
-def parities(h: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Per set, for each bit of its signature whether an odd number of its shingles fall on it; as words."""
-    bits = 64 * PARITY_WORDS
-    row = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    odd = np.bincount(row * bits + (mix(h + U(0xA0761D6478BD642F)) % U(bits)).astype(np.int64), minlength=(len(first) - 1) * bits) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+def parities(h: np.ndarray, first: np.ndarray) -> pa.Array:
+    """Per set, for each bit of its signature whether an odd number of its shingles fall on it; lists of words."""
+    size = np.diff(first)
+    held = np.exp2(np.ceil(np.log2(np.maximum(size, 64 * LEAST_WORDS) / 64))).astype(np.int64)
+    edge = np.concatenate([[0], np.cumsum(held)])
+    place = np.repeat(edge[:-1] * 64, size) + (mix(h + U(0xA0761D6478BD642F)) & np.repeat(held * 64 - 1, size).astype(U)).astype(np.int64)
+    odd = np.bincount(place, minlength=int(edge[-1]) * 64) & 1
+    return pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)))
+
+
+def differing(a: str, b: str) -> Column:
+    """Bits in which two signatures differ, the longer one folded to the length of the shorter."""
+    n = f"least(size({a}), size({b}))"
+    word = lambda p: f"aggregate(sequence(j, size({p}) - 1, {n}), 0L, (s, i) -> s ^ {p}[i])"
+    return F.expr(f"aggregate(sequence(0, {n} - 1), 0, (d, j) -> d + bit_count({word(a)} ^ {word(b)}))")
 
 
 def _struct(x: np.ndarray, y: np.ndarray) -> pa.Array:
@@ -93,7 +106,7 @@ def described(docs: DataFrame, counts: np.ndarray, width: int, num: int, den: in
             prefix = [h[a:b][np.argsort(order[a:b], kind="stable")[:k]] for a, b, k in zip(first.tolist(), first[1:].tolist(), take.tolist(), strict=False)]
             flat = np.concatenate(prefix) if prefix else h
             edge = np.concatenate([[0], np.cumsum(take)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in batch.schema.names if k != "text"), pa.array(size, pa.int64()), _struct(*class_ids(h, first)), pa.ListArray.from_arrays(pa.array(edge), pa.array(flat.view(np.int64))), pa.ListArray.from_arrays(pa.array(np.arange(len(first), dtype=np.int32) * PARITY_WORDS), pa.array(parities(h, first)))], names=[*(k for k in batch.schema.names if k != "text"), "size", "cid", "prefix", "parity"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in batch.schema.names if k != "text"), pa.array(size, pa.int64()), _struct(*class_ids(h, first)), pa.ListArray.from_arrays(pa.array(edge), pa.array(flat.view(np.int64))), parities(h, first)], names=[*(k for k in batch.schema.names if k != "text"), "size", "cid", "prefix", "parity"])
 
     plain = docs.drop("text").schema
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in plain), "size long", f"cid {_CLASS}", "prefix array<long>", "parity array<long>"])
@@ -101,17 +114,14 @@ def described(docs: DataFrame, counts: np.ndarray, width: int, num: int, den: in
 
 
 def verified(docs: DataFrame, signed: DataFrame, pairs: DataFrame, folder: str, name: str, width: int, num: int, den: int) -> DataFrame:
-    """The pairs (a, b of class ids) whose whole sets link; docs is read again for the sets of the classes in pairs.
+    """The pairs (a, b of class ids) whose whole sets link; docs is read again for a text of each class in pairs.
 
     signed: cid, size and parity of all classes.
     """
     pairs = pairs.select("a", "b").distinct()
     for s in "ab":
         pairs = pairs.join(signed.select(F.col("cid").alias(s), F.col("size").alias(f"n{s}"), F.col("parity").alias(f"p{s}")), s)
-    differ = F.lit(0)
-    for i in range(PARITY_WORDS):
-        differ = differ + F.bit_count(F.get("pa", F.lit(i)).bitwiseXOR(F.get("pb", F.lit(i))))
-    pairs = checkpointed(pairs.where(differ * (num + den) <= (F.col("na") + F.col("nb")) * (den - num)).select("a", "b"), folder, f"{name}-pairs")
+    pairs = checkpointed(pairs.where(differing("pa", "pb") * (num + den) <= (F.col("na") + F.col("nb")) * (den - num)).select("a", "b"), folder, f"{name}-pairs")
     asked = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(bitfilter.build(asked.select("cid.x"), "x"))
@@ -120,20 +130,24 @@ def verified(docs: DataFrame, signed: DataFrame, pairs: DataFrame, folder: str,
         for batch in slices(batches, "text"):
             h, first = sets(batch.column("text"), width)
             x, y = class_ids(h, first)
-            size = np.diff(first)
-            of = np.flatnonzero(bitfilter.passing(shared.value, x) & (size > 0))
+            of = np.flatnonzero(bitfilter.passing(shared.value, x) & (np.diff(first) > 0))
             _, once = np.unique(x[of], return_index=True)
             of = of[np.sort(once)]
-            flat = [h[first[d] : first[d + 1]] for d in of.tolist()]
-            edge = np.concatenate([[0], np.cumsum(size[of])]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([_struct(x[of], y[of]), pa.ListArray.from_arrays(pa.array(edge), pa.array((np.concatenate(flat) if flat else h[:0]).view(np.int64)))], names=["cid", "s"])
-
-    found = docs.select("text").mapInArrow(rows, f"cid {_CLASS}, s array<long>").groupBy("cid").agg(F.first("s").alias("s"))
-    found = checkpointed(found.join(asked, "cid", "left_semi"), folder, f"{name}-sets")
-    both = pairs.join(found.select(F.col("cid").alias("a"), F.col("s").alias("sa")), "a").join(found.select(F.col("cid").alias("b"), F.col("s").alias("sb")), "b")
-    common = F.size(F.array_intersect("sa", "sb"))
-    links = checkpointed(both.withColumn("common", common).where(F.col("common") * den >= (F.size("sa") + F.size("sb") - F.col("common")) * num).select("a", "b"), folder, f"{name}-links")
-    dropped(spark, folder, f"{name}-sets", f"{name}-pairs")
+            yield pa.RecordBatch.from_arrays([_struct(x[of], y[of]), batch.column("text").take(pa.array(of))], names=["cid", "t"])
+
+    def linking(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "ta"):
+            (ha, fa), (hb, fb) = (sets(batch.column(c), width) for c in ("ta", "tb"))
+            ends = zip(fa.tolist(), fa[1:].tolist(), fb.tolist(), fb[1:].tolist(), strict=False)
+            common = np.array([len(np.intersect1d(ha[i:j], hb[k:m], assume_unique=True)) for i, j, k, m in ends], np.int64)
+            link = common * den >= (np.diff(fa) + np.diff(fb) - common) * num
+            yield batch.select(["a", "b"]).filter(pa.array(link))
+
+    found = docs.select("text").mapInArrow(rows, f"cid {_CLASS}, t string").groupBy("cid").agg(F.first("t").alias("t"))
+    found = checkpointed(found, folder, f"{name}-texts")
+    both = pairs.join(found.select(F.col("cid").alias("a"), F.col("t").alias("ta")), "a").join(found.select(F.col("cid").alias("b"), F.col("t").alias("tb")), "b")
+    links = checkpointed(both.mapInArrow(linking, pairs.schema), folder, f"{name}-links")
+    dropped(spark, folder, f"{name}-texts", f"{name}-pairs")
     return links
 
 
@@ -155,6 +169,7 @@ def connected(texts: DataFrame, index: DataFrame, signed: DataFrame, folder: str
 
     # Blocks of different components that positions and sizes don't rule out.
     index = checkpointed(index.join(linked.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid")), folder, "blocked")
+    dropped(texts.sparkSession, folder, "index")
     blocks = index.groupBy("tok", "bucket", "comp").agg(F.min("pos").alias("pos"), F.min("size").alias("low"), F.max("size").alias("high"))
     left, right = (blocks.select("tok", *(F.col(c).alias(f"{c}_{s}") for c in ("bucket", "comp", "pos", "low", "high"))) for s in "ab")
     rest = F.least(F.col("high_a") - F.col("pos_a"), F.col("high_b") - F.col("pos_b"))
@@ -164,38 +179,70 @@ def connected(texts: DataFrame, index: DataFrame, signed: DataFrame, folder: str
         near = near.join(index.select("tok", *(F.col(c).alias(f"{c}_{s}") for c in ("bucket", "comp", "cid", "pos", "size"))), ["tok", f"bucket_{s}", f"comp_{s}"])
     second = near.where(_may_link(num, den, "size_a", "pos_a", "size_b", "pos_b")).select(F.least("cid_a", "cid_b").alias("a"), F.greatest("cid_a", "cid_b").alias("b"))
     more = verified(texts, signed, second, folder, "blocks", width, num, den)
+    dropped(texts.sparkSession, folder, "blocked")
     if more.limit(1).count():
         linked = components(links.unionByName(more), folder, "components")
     return linked
 
 
-def grouped(docs: DataFrame, folder: str, width: int, num: int, den: int, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Per row: the columns in keep, doc_id, size, cid, comp (a component of classes, null for an empty set)."""
+def listed(classes: DataFrame, folder: str, column: str, num: int, den: int) -> DataFrame:
+    """Rows (tok, cid, size, bucket, pos) of the entries of a column of lists that more than one class may have."""
+    spark = classes.sparkSession
+    often = classes.select(F.explode(column).alias("tok")).groupBy("tok").agg(F.count("*").alias("n")).where("n > 1").select("tok")
+    shared = spark.sparkContext.broadcast(bitfilter.build(checkpointed(often, folder, "often"), "tok"))
+    dropped(spark, folder, "often")
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(column)
+            n = lists.value_lengths().to_numpy(zero_copy_only=False)
+            flat = lists.flatten().to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(batch.num_rows), n)
+            pos = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
+            of = np.flatnonzero(bitfilter.passing(shared.value, flat.view(U)))
+            at = pa.array(row[of])
+            yield pa.RecordBatch.from_arrays([pa.array(flat[of]), batch.column("cid").take(at), batch.column("size").take(at), pa.array(pos[of].astype(np.int32))], names=["tok", "cid", "size", "pos"])
+
+    bucket = F.floor(F.log(F.col("size").cast("double")) / float(np.log(den / num))).cast("int")
+    found = classes.select("cid", "size", column).mapInArrow(rows, f"tok long, cid {_CLASS}, size long, pos int")
+    return checkpointed(found.withColumn("bucket", bucket), folder, "index")
+
+
+def grouped(docs: DataFrame, folder: str, width: int, num: int, den: int, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Per row: the columns in keep, doc_id, size, cid; and (node, comp) of the classes that are linked."""
     spark = docs.sparkSession
     prepare(spark)
     docs = docs.select(*[c for c in keep or [] if c not in (doc_id, text)], F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     texts = docs.select("text")
-    counts = rarity(texts, width)
-    told = checkpointed(described(docs, counts, width, num, den), folder, "documents")
-    classes = told.where("size > 0").groupBy("cid").agg(F.first("size").alias("size"), F.first("prefix").alias("prefix"))
-    signed = checkpointed(told.where("size > 0").groupBy("cid").agg(F.first("size").alias("size"), F.first("parity").alias("parity")), folder, "signed")
-    bucket = F.floor(F.log(F.col("size").cast("double")) / float(np.log(den / num))).cast("int")
-    listed = classes.select("cid", "size", bucket.alias("bucket"), F.posexplode("prefix").alias("pos", "tok"))
-    listed = checkpointed(listed, folder, "listed")
-    often = listed.groupBy("tok").agg(F.count("*").alias("n")).where("n > 1").select("tok")
-    index = checkpointed(listed.join(often, "tok"), folder, "index")
+    wide = checkpointed(described(docs, rarity(texts, width), width, num, den), folder, "described")
+    classes = checkpointed(wide.where("size > 0").groupBy("cid").agg(*[F.first(c).alias(c) for c in ("size", "prefix", "parity")]), folder, "classes")
+    told = checkpointed(wide.drop("prefix", "parity"), folder, "documents")
+    dropped(spark, folder, "described")
+    index = listed(classes, folder, "prefix", num, den)
+    linked = connected(texts, index, classes.select("cid", "size", "parity"), folder, width, num, den)
+    dropped(spark, folder, "classes")
+    return told, linked
 
-    dropped(spark, folder, "listed")
-    linked = connected(texts, index, signed, folder, width, num, den)
-    dropped(spark, folder, "index", "signed", "blocked")
-    return told.drop("prefix", "parity").join(linked.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.when(F.col("size") > 0, F.coalesce("comp", "cid")))
+
+def by_component(told: DataFrame, linked: DataFrame, folder: str, best: Column) -> DataFrame:
+    """(cid, best) of every class: the least of a column over its component's rows.
+
+    Both sides of the joins are tables, so that a component or class of many rows can be split among tasks.
+    """
+    own = told.where("size > 0").groupBy("cid").agg(F.min(best).alias("best"))
+    own = checkpointed(own.join(linked.withColumnRenamed("node", "cid"), "cid", "left"), folder, "class-best")
+    least = checkpointed(own.where("comp is not null").groupBy("comp").agg(F.min("best").alias("least")), folder, "least")
+    found = checkpointed(own.join(least, "comp", "left").select("cid", F.coalesce("least", "best").alias("best")), folder, "best")
+    dropped(told.sparkSession, folder, "class-best", "least")
+    return found
 
 
 def digests(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100, folder: str | None = None) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (least doc_id of its component)."""
-    found = grouped(docs.select("doc_id", "text"), folder or shared_dir(docs.sparkSession), width, num, den)
-    least = found.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    return found.join(least, "comp", "left").select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    folder = folder or shared_dir(docs.sparkSession)
+    told, linked = grouped(docs.select("doc_id", "text"), folder, width, num, den)
+    best = by_component(told, linked, folder, F.col("doc_id"))
+    return told.join(best, "cid", "left").select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("size") == 0, F.col("doc_id")).otherwise(F.col("best")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, width: int, num: int, den: int, doc_id: str = "doc_id", text: str = "text", folder: str | None = None) -> DataFrame:
@@ -203,13 +250,13 @@ def one_of_each(docs: DataFrame, width: int, num: int, den: int, doc_id: str = "
 
     Rows with empty sets link with nothing and all stay.
     """
-    names = docs.columns
+    names, folder = docs.columns, folder or shared_dir(docs.sparkSession)
     keyed = docs.withColumns({"__d": F.col(doc_id), "__t": F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
-    told = grouped(keyed.select("__d", "__t", F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), folder or shared_dir(docs.sparkSession), width, num, den, keep=["__d", "__t"])
-    order = F.struct(F.col("__d").isNull(), "__d", "__t")
-    best = told.where("comp is not null").groupBy("comp").agg(F.min(order).alias("best"))
-    rows = told.groupBy("__d", "__t").agg(F.first("comp").alias("comp")).join(best, "comp", "left")
-    kept = rows.where(F.col("comp").isNull() | order.eqNullSafe(F.col("best"))).select(F.col("__d").alias("__kd"), F.col("__t").alias("__kt"), F.col("comp").isNotNull().alias("__grouped"))
+    told, linked = grouped(keyed.select("__d", "__t", F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), folder, width, num, den, keep=["__d", "__t"])
+    order = F.struct(F.col("__d").isNull().alias("none"), F.col("__d").alias("d"), F.col("__t").alias("t"))
+    best = by_component(told, linked, folder, order)
+    rows = told.groupBy("__d", "__t").agg(F.first("cid").alias("cid"), F.first("size").alias("size"), F.count("*").alias("n")).join(best, "cid", "left")
+    kept = rows.where((F.col("size") == 0) | order.eqNullSafe(F.col("best"))).select(F.col("__d").alias("__kd"), F.col("__t").alias("__kt"), ((F.col("size") > 0) & (F.col("n") > 1)).alias("__again"))
     joined = keyed.join(kept, F.col("__d").eqNullSafe(F.col("__kd")) & (F.col("__t") == F.col("__kt")))
-    place = F.row_number().over(Window.partitionBy("__d", "__t").orderBy("__grouped"))
-    return joined.withColumn("__place", place).where(~F.col("__grouped") | (F.col("__place") == 1)).select(*names)
+    once = joined.where("__again").dropDuplicates(["__d", "__t"])  # first rows are combined before the shuffle
+    return joined.where(~F.col("__again")).unionByName(once).select(*names)
