@@ -6,7 +6,7 @@ leftmost pair of least rank, until no word has a pair left. The recursion keeps
 steps, so one query's words are bounded by those rows, and matches of more than LONG bytes are
 contracted in the same order from a heap, in memory linear in their length. Decoding joins ids with
 the vocabulary and concatenates the bytes in an ordered aggregation, a bounded piece of the ids at a
-time. Only numpy gathers stand between the distinct words and the documents.
+time; the tokens' lengths cut its result. Only numpy gathers stand between distinct words and documents.
 
 Nulls and empty texts have no tokens. Rows are independent, so ties, repeated rows and null ids of
 documents change nothing; an empty table gives no rows. Texts need not hold any spaces, and a match
@@ -28,36 +28,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import chunks
-from .common import prepare, slices
-from .textkernel import expand, span_hashes
+from .common import prepare, resident, slices
+from .textkernel import expand
 
 #: Text bytes encoded at once; with the cache and DuckDB's limit this keeps a worker near 400 MB.
 SLICE = 3 << 18
-CACHE_ENTRIES = 250_000
-#: Values that a cache may hold before it is emptied, for entries of any length.
-CACHE_VALUES = 1 << 22
+CACHE_ENTRIES = 800_000
 #: Bytes of distinct words in one recursive query, rows of all its steps at most, and bytes of its longest word.
 QUERY_BYTES, QUERY_ROWS, LONG = 60_000, 500_000, 128
 #: Bytes decoded by one query; an id counts as four at least.
 DECODE_BYTES = 800_000
-_workers: dict[tuple[str, str], "DuckBpe"] = {}
 
+# A merge's key is its rank, a pair's is followed by the places of both tokens, which are below 256.
 ENCODE = """
 WITH RECURSIVE state(w, p, t, np, nt, step) AS (
     SELECT w, p, t, lead(p) OVER (PARTITION BY w ORDER BY p), lead(t) OVER (PARTITION BY w ORDER BY p), 0 FROM symbols
   UNION ALL
     SELECT k.w, k.p, CASE WHEN k.p = b.p THEN b.merged ELSE k.t END,
-           CASE WHEN k.p = b.p THEN gone.np ELSE k.np END,
-           CASE WHEN k.p = b.p THEN gone.nt WHEN k.np = b.p THEN b.merged ELSE k.nt END, k.step + 1
+           CASE WHEN k.p = b.p THEN b.after ELSE k.np END,
+           CASE WHEN k.p = b.p THEN b.after_t WHEN k.np = b.p THEN b.merged ELSE k.nt END, k.step + 1
     FROM state k JOIN (
-        SELECT n.w, (min(m.key + n.p) & 4294967295)::INT AS p, (min(m.key + n.p) >> 32)::INT AS merged, arg_min(n.np, m.key + n.p) AS np
-        FROM state n JOIN merges m ON n.t = m.a AND n.nt = m.b GROUP BY n.w) b ON k.w = b.w
-      JOIN state gone ON gone.w = b.w AND gone.p = b.np
-    WHERE k.p <> b.np
+        SELECT l.w, ((l.best >> 8) & 255)::INT AS p, (l.best & 255)::INT AS gone, (l.best >> 16)::INT AS merged, g.np AS after, g.nt AS after_t
+        FROM (SELECT n.w, min(m.key | (n.p << 8) | n.np) AS best FROM state n JOIN merges m ON n.t = m.a AND n.nt = m.b GROUP BY n.w) l
+          JOIN state g ON g.w = l.w AND g.p = (l.best & 255)) b ON k.w = b.w
+    WHERE k.p <> b.gone
 )
 SELECT s.w, s.t FROM state s JOIN (SELECT w, max(step) AS step FROM state GROUP BY w) f ON s.w = f.w AND s.step = f.step ORDER BY s.w, s.p
 """
-DECODE = "SELECT i.w, unhex(string_agg(v.hex, '' ORDER BY i.p)) AS bytes FROM ids i JOIN vocabulary v ON i.t = v.id GROUP BY i.w ORDER BY i.w"
+# Bytes stand as characters U+0000 to U+00FF.
+DECODE = "SELECT string_agg(v.bytes, '' ORDER BY i.p) FROM ids i JOIN vocabulary v ON i.t = v.id"
 
 
 def ranks(path: str) -> dict[bytes, int]:
@@ -87,10 +86,14 @@ class DuckBpe:
         self.width[list(self.ranks.values())] = [len(t) for t in self.ranks]
         pairs = [(self.ranks[t[:k]], self.ranks[t[k:]], i) for t, i in self.ranks.items() for k in range(1, len(t)) if t[:k] in self.ranks and t[k:] in self.ranks]
         a, b, r = (pa.array(x, pa.int32()) for x in zip(*pairs, strict=True))
-        self._fill("merges", pa.table({"a": a, "b": b, "key": pa.array(r.to_numpy().astype(np.int64) << 32)}))
-        self._fill("vocabulary", pa.table({"id": pa.array(list(self.ranks.values()), pa.int32()), "hex": [t.hex() for t in self.ranks]}))
-        self.words, self.chunks = chunks.Cache(CACHE_ENTRIES), chunks.Cache(CACHE_ENTRIES)
-        self.sequences = chunks.Cache(CACHE_ENTRIES, np.uint8)
+        self._fill("merges", pa.table({"a": a, "b": b, "key": pa.array(r.to_numpy().astype(np.int64) << 16)}))
+        self._fill("vocabulary", pa.table({"id": pa.array(list(self.ranks.values()), pa.int32()), "bytes": [t.decode("latin-1") for t in self.ranks]}))
+        self.chunks, self.sequences = chunks.Cache(CACHE_ENTRIES), chunks.Cache(CACHE_ENTRIES, np.uint8)
+        self.opens = np.zeros(len(self.width), bool)
+        self.opens[[i for t, i in self.ranks.items() if t[:1] == b" "]] = True
+
+    def close(self) -> None:
+        self.db.close()
 
     def _fill(self, name: str, data: pa.Table) -> None:
         self.db.register("given", data)
@@ -101,28 +104,24 @@ class DuckBpe:
         """Sizes and ids of distinct words: those in the vocabulary at once, the rest by contraction."""
         known = np.array([self.ranks.get(w, -1) for w in words], np.int64)
         size = np.array([len(w) for w in words], np.int64)
-        sizes, out = np.ones(len(words), np.int32), [np.zeros(0, np.int32)] * len(words)
+        sizes, parts = np.ones(len(words), np.int32), [(np.flatnonzero(known >= 0), known[known >= 0].astype(np.int32))]
         for i in np.flatnonzero((known < 0) & (size > LONG)).tolist():
-            out[i] = self.contract(words[i])
-            sizes[i] = len(out[i])
+            ids = self.contract(words[i])
+            sizes[i] = len(ids)
+            parts.append((np.array([i]), ids))
         open_ = np.flatnonzero((known < 0) & (size <= LONG))
         held, steps = np.cumsum(size[open_]) // QUERY_BYTES, np.cumsum(size[open_] * (size[open_] + 1) // 2) // QUERY_ROWS
         for part in np.split(open_, np.flatnonzero(np.diff(held) | np.diff(steps)) + 1):
             if not len(part):
                 continue
             data = [words[i] for i in part.tolist()]
-            long = np.array([len(x) for x in data])
-            rows = pa.table({"w": np.repeat(np.arange(len(data), dtype=np.int32), long), "p": expand(np.zeros(len(data), np.int64), long).astype(np.int32), "t": self.byte_id[np.frombuffer(b"".join(data), np.uint8)]})
+            rows = pa.table({"w": np.repeat(np.arange(len(data), dtype=np.int32), size[part]), "p": expand(np.zeros(len(data), np.int64), size[part]).astype(np.int32), "t": self.byte_id[np.frombuffer(b"".join(data), np.uint8)]})
             self.db.register("symbols", rows)
             found = self.db.execute(ENCODE).fetchnumpy()
             self.db.unregister("symbols")
-            counts = np.bincount(np.asarray(found["w"]), minlength=len(data))
-            sizes[part] = counts
-            for i, ids in zip(part.tolist(), np.split(np.asarray(found["t"], np.int32), np.cumsum(counts)[:-1]), strict=True):
-                out[i] = ids
-        for i in np.flatnonzero(known >= 0).tolist():
-            out[i] = known[i : i + 1].astype(np.int32)
-        return sizes, np.concatenate(out) if out else np.zeros(0, np.int32)
+            sizes[part] = np.bincount(np.asarray(found["w"]), minlength=len(data))
+            parts.append((part, np.asarray(found["t"], np.int32)))
+        return sizes, chunks.gathered(parts, sizes)
 
     def contract(self, word: bytes) -> np.ndarray:
         """Ids of one word: its leftmost pair of least rank is contracted until none is left, as in ENCODE."""
@@ -146,45 +145,38 @@ class DuckBpe:
 
     def __call__(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sizes and ids of chunks: their matches are encoded, each distinct one once."""
-        raw, long = bytearray(), []
+        index: dict[str, int] = {}
+        which: list[int] = []
         matches = np.zeros(len(start), np.int64)
+        raw = data.tobytes()
         for i, (a, b) in enumerate(zip(start.tolist(), end.tolist(), strict=True)):
-            found = [m.encode() for m in self.find(data[a:b].tobytes().decode())]
+            found = self.find(raw[a:b].decode())
             matches[i] = len(found)
-            long += map(len, found)
-            raw += b"".join(found)
-        ends = np.cumsum(np.array(long, np.int64))
-        flat = np.frombuffer(bytes(raw), np.uint8)
-        begins = ends - np.array(long, np.int64)
-        keys, at, inverse = np.unique(span_hashes(flat, begins, ends, 3), return_index=True, return_inverse=True)
-        if self.words.entries + len(keys) > self.words.limit or self.words.used > CACHE_VALUES:
-            self.words.clear()
-        entry = self.words.find(keys)
-        new = np.flatnonzero(entry < 0)
-        if len(new):
-            entry[new] = self.words.add(keys[new], *self.encode_words([flat[begins[i] : ends[i]].tobytes() for i in at[new].tolist()]))
-        sizes, ids = self.words.ids(entry[inverse])
-        after = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])[np.concatenate([[0], np.cumsum(matches)])]
-        return np.diff(after).astype(np.int32), ids
+            which += [index.setdefault(m, len(index)) for m in found]
+        sizes, flat = self.encode_words([m.encode() for m in index])
+        at = np.array(which, np.int64)
+        begin = np.cumsum(sizes, dtype=np.int64) - sizes
+        after = np.concatenate([[0], np.cumsum(sizes[at], dtype=np.int64)])[np.concatenate([[0], np.cumsum(matches)])]
+        return np.diff(after).astype(np.int32), flat[expand(begin[at], sizes[at])]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        if self.chunks.used > CACHE_VALUES:
-            self.chunks.clear()
         return chunks.encode(texts, self.chunks, self)
 
     def decode(self, ids: np.ndarray, first: np.ndarray) -> list[bytes]:
-        """The bytes of each row of ids; a row may lie in several pieces."""
-        done, row = [b""] * (len(first) - 1), np.repeat(np.arange(len(first) - 1, dtype=np.int32), np.diff(first))
+        """The bytes of each row of ids; ids that the vocabulary lacks have none."""
         ids = ids[int(first[0]) : int(first[-1])].astype(np.int32)
-        held = np.cumsum(np.maximum(4, self.width[np.clip(ids, 0, len(self.width) - 1)])) // DECODE_BYTES
+        width = np.where((ids >= 0) & (ids < len(self.width)), self.width[np.clip(ids, 0, len(self.width) - 1)], 0)
+        held = np.cumsum(np.maximum(4, width)) // DECODE_BYTES
         edges = [0, *(np.flatnonzero(np.diff(held)) + 1).tolist(), len(ids)]
+        done = []
         for lo, hi in zip(edges, edges[1:], strict=False):
             if hi > lo:
-                self.db.register("ids", pa.table({"w": row[lo:hi], "p": np.arange(lo, hi), "t": ids[lo:hi]}))
-                for w, b in self.db.execute(DECODE).fetchall():
-                    done[w] += b
+                self.db.register("ids", pa.table({"p": np.arange(lo, hi), "t": ids[lo:hi]}))
+                done.append((self.db.execute(DECODE).fetchall()[0][0] or "").encode("latin-1"))
                 self.db.unregister("ids")
-        return done
+        whole = b"".join(done)
+        edge = np.concatenate([[0], np.cumsum(width)])[first - first[0]].tolist()
+        return [whole[a:b] for a, b in zip(edge, edge[1:], strict=False)]
 
     def decode_documents(self, ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Decoded bytes of all rows in a row, and each row's first byte; equal runs of ids are decoded once.
@@ -197,33 +189,20 @@ class DuckBpe:
         begin[first[:-1][np.diff(first) > 0]] = True
         start = np.flatnonzero(begin)
         end = np.append(start[1:], len(ids))
-        keys, at, inverse = np.unique(span_hashes(ids.astype("<u4").view(np.uint8), start * 4, end * 4, 5), return_index=True, return_inverse=True)
-        if self.sequences.entries + len(keys) > self.sequences.limit or self.sequences.used > CACHE_VALUES:
-            self.sequences.clear()
-        entry = self.sequences.find(keys)
-        new = np.flatnonzero(entry < 0)
-        if len(new):
-            sizes = (end - start)[at[new]]
-            edge = np.concatenate([[0], np.cumsum(sizes)])
-            texts = self.decode(ids[expand(start[at[new]], sizes)], edge)
-            entry[new] = self.sequences.add(keys[new], np.array([len(x) for x in texts], np.int32), np.frombuffer(b"".join(texts), np.uint8))
-        sizes, out = self.sequences.ids(entry[inverse])
+
+        def make(of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            size = (end - start)[of]
+            texts = self.decode(ids[expand(start[of], size)], np.concatenate([[0], np.cumsum(size)]))
+            return np.array([len(x) for x in texts], np.int32), np.frombuffer(b"".join(texts), np.uint8)
+
+        sizes, out = self.sequences.through(ids.astype("<u4").view(np.uint8), start * 4, end * 4, make)
         after = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
         return out, after[np.searchsorted(start, first)]
 
-    @property
-    def opens(self) -> np.ndarray:
-        if not hasattr(self, "_opens"):
-            self._opens = np.zeros(max(self.ranks.values()) + 1, bool)
-            self._opens[[i for t, i in self.ranks.items() if t[:1] == b" "]] = True
-        return self._opens
-
 
 def worker(path: str, pattern: str) -> DuckBpe:
-    """This process's encoder; kept while the process lives."""
-    if (path, pattern) not in _workers:
-        _workers[path, pattern] = DuckBpe(path, pattern)
-    return _workers[path, pattern]
+    """This process's encoder; kept until another operator takes the process."""
+    return resident((__name__, path, pattern), lambda: DuckBpe(path, pattern))
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
@@ -233,7 +212,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", out: str
     schema = df.select("*", F.lit(None).cast("array<int>").alias(out)).schema
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text, SLICE):
+        for batch in slices(batches, text, SLICE, keep=True):
             ids, first = worker(path, pattern).encode(batch.column(text))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids, pa.int32()))], names=[*batch.schema.names, out])
 
@@ -263,7 +242,7 @@ def digests(docs: DataFrame, path: str, pattern: str, keep: list[str], text: str
     schema = docs.select(*keep).withColumns({"n_tokens": F.lit(0).cast("long"), "ids_sha256": F.lit(""), "decoded_sha256": F.lit(""), "round_trip": F.lit(True), **({"ids": F.lit(None).cast("array<int>")} if with_ids else {})}).schema
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text, SLICE):
+        for batch in slices(batches, text, SLICE, keep=True):
             bpe = worker(path, pattern)
             ids, first = bpe.encode(batch.column(text))
             back, edge = bpe.decode_documents(ids, first)

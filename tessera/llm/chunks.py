@@ -2,7 +2,7 @@
 
 The byte-level pattern never matches across these places: before white space that follows another
 character; after a letter that another ASCII character follows; after a lone line feed. Texts are
-cut there, so a chunk's ids don't depend on what stands around it.
+cut there, so a chunk's ids don't depend on what stands around it. Nulls and empty texts have no chunks.
 """
 
 from __future__ import annotations
@@ -50,38 +50,59 @@ def cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 class Cache:
-    """From 64-bit hashes of chunks to their ids; sorted levels, merged as they grow, emptied at limit entries."""
+    """From 64-bit hashes of chunks to their ids, in sorted levels that merge as they grow.
 
-    def __init__(self, limit: int, kind: type = np.int32) -> None:
-        self.limit, self.kind = limit, kind
-        self.clear()
+    A second hash tells entries apart whose first ones are equal. Beyond limit entries or values, the
+    entries that weren't found again since the last time go, and of the others the oldest.
+    """
 
-    def clear(self) -> None:
+    def __init__(self, limit: int, kind: type = np.int32, values: int = 1 << 23) -> None:
+        self.limit, self.kind, self.values = limit, kind, values
         self.levels: list[tuple[np.ndarray, np.ndarray]] = []
-        self.start, self.size, self.flat = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int32), np.zeros(1 << 14, self.kind)
+        self.start, self.size, self.check, self.hit = (np.zeros(1 << 12, k) for k in (np.int64, np.int32, np.uint64, bool))
+        self.flat = np.zeros(1 << 14, kind)
         self.entries = self.used = 0
 
-    def find(self, keys: np.ndarray) -> np.ndarray:
+    def find(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
         """Entry of each key, or -1."""
         out = np.full(len(keys), -1, np.int64)
         for known, entry in self.levels:
             at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-            hit = known[at] == keys
+            hit = (known[at] == keys) & (self.check[entry[at]] == checks)
             out[hit] = entry[at[hit]]
+        self.hit[out[out >= 0]] = True
         return out
 
+    def make_room(self, k: int) -> None:
+        """To be called before find, so that entries stay where they are until they are read."""
+        if self.entries + k <= self.limit and self.used <= self.values:
+            return
+        kept = np.flatnonzero(self.hit[: self.entries])[-(self.limit // 2) :]
+        newest = np.cumsum(self.size[kept[::-1]], dtype=np.int64)
+        kept = kept[len(kept) - int(np.searchsorted(newest, self.values // 2, "right")) :]
+        place = np.full(self.entries, -1, np.int64)
+        place[kept] = np.arange(len(kept))
+        keys, entry = (np.concatenate([x[i] for x in self.levels]) if self.levels else np.zeros(0, k) for i, k in enumerate((np.uint64, np.int64)))
+        keys, entry = keys[place[entry] >= 0], place[entry[place[entry] >= 0]]
+        order = np.argsort(keys, kind="stable")
+        self.levels = [(keys[order], entry[order])] if len(keys) else []
+        size = self.size[kept]
+        self.flat = self.flat[expand(self.start[kept], size)]
+        self.start, self.size, self.check, self.hit = np.cumsum(size, dtype=np.int64) - size, size, self.check[kept], np.zeros(len(kept), bool)
+        self.entries, self.used = len(kept), len(self.flat)
+
     @staticmethod
     def _room(a: np.ndarray, need: int) -> np.ndarray:
         return a if need <= len(a) else np.concatenate([a, np.zeros(max(need, len(a) * 3 // 2) - len(a), a.dtype)])
 
-    def add(self, keys: np.ndarray, sizes: np.ndarray, flat: np.ndarray) -> np.ndarray:
+    def add(self, keys: np.ndarray, checks: np.ndarray, sizes: np.ndarray, flat: np.ndarray) -> np.ndarray:
         """Store sorted new keys; returns their entries."""
         k, n = len(keys), len(flat)
-        self.start, self.size = self._room(self.start, self.entries + k), self._room(self.size, self.entries + k)
+        self.start, self.size, self.check, self.hit = (self._room(x, self.entries + k) for x in (self.start, self.size, self.check, self.hit))
         self.flat = self._room(self.flat, self.used + n)
         entry = np.arange(self.entries, self.entries + k)
         self.start[entry] = self.used + np.cumsum(sizes) - sizes
-        self.size[entry] = sizes
+        self.size[entry], self.check[entry], self.hit[entry] = sizes, checks, False
         self.flat[self.used : self.used + n] = flat
         self.entries, self.used = self.entries + k, self.used + n
         self.levels.append((keys, entry))
@@ -97,6 +118,17 @@ class Cache:
         size = self.size[entry]
         return size, self.flat[expand(self.start[entry], size)]
 
+    def through(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, make: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes and values of all spans of data; make gives those of some spans, each kind of which is asked for once."""
+        keys, at, inverse = np.unique(span_hashes(data, start, end), return_index=True, return_inverse=True)
+        checks = span_hashes(data, start[at], end[at], 11)
+        self.make_room(len(keys))
+        entry = self.find(keys, checks)
+        new = np.flatnonzero(entry < 0)
+        if len(new):
+            entry[new] = self.add(keys[new], checks[new], *make(at[new]))
+        return self.ids(entry[inverse])
+
 
 def encode(texts: pa.Array, cache: Cache, encoder: Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """All ids of the texts in a row, and each text's first. encoder(data, start, end) gives sizes and ids of chunks."""
@@ -104,19 +136,20 @@ def encode(texts: pa.Array, cache: Cache, encoder: Callable[[np.ndarray, np.ndar
     start, end, first = cut(data, offsets)
     if not len(start):
         return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
-    keys, at, inverse = np.unique(span_hashes(data, start, end), return_index=True, return_inverse=True)
-    if cache.entries + len(keys) > cache.limit:
-        cache.clear()
-    entry = cache.find(keys)
-    new = np.flatnonzero(entry < 0)
-    if len(new):
-        sizes, flat = encoder(data, start[at[new]], end[at[new]])
-        entry[new] = cache.add(keys[new], sizes, flat)
-    sizes, ids = cache.ids(entry[inverse])
+    sizes, ids = cache.through(data, start, end, lambda of: encoder(data, start[of], end[of]))
     before = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
     return ids, before[first]
 
 
+def gathered(parts: list[tuple[np.ndarray, np.ndarray]], sizes: np.ndarray, kind: type = np.int32) -> np.ndarray:
+    """Values of rows of these sizes in a row, from parts: (which rows, their values in a row)."""
+    flat = np.zeros(int(sizes.sum()), kind)
+    begin = np.cumsum(sizes, dtype=np.int64) - sizes
+    for which, values in parts:
+        flat[expand(begin[which], sizes[which])] = values
+    return flat
+
+
 def joinable(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Chunks that may be written one after another: ' x...y'; and those that may if a line feed goes before: 'x...y'."""
     longer, closed = end - start > 1, _PLAIN[data[end - 1]]

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -70,8 +74,33 @@ def row_key(doc_id: str, text: str) -> Column:
     return F.struct(F.col(doc_id), F.xxhash64(F.coalesce(F.col(text), F.lit("")), F.col(text).isNull()))
 
 
-def slices(batches: Iterable[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each holds at most limit bytes of text, or one row."""
+_resident: dict[tuple, Any] = {}
+
+
+def resident(key: tuple, make: Callable[[], Any]) -> Any:
+    """What an operator keeps in a worker from task to task, made where the worker holds none or another's."""
+    if key not in _resident:
+        release()
+        _resident[key] = make()
+    return _resident[key]
+
+
+def release() -> None:
+    """Give back the memory of what the worker keeps; a worker is used by one operator after another."""
+    if _resident:
+        for held in _resident.values():
+            held.close()
+        _resident.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+            ctypes.CDLL(None).malloc_trim(0)
+
+
+def slices(batches: Iterable[pa.RecordBatch], text: str, limit: int = SLICE_BYTES, keep: bool = False) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that each holds at most limit bytes of text, or one row; keep: the operator has something resident."""
+    if not keep:
+        release()
     for batch in batches:
         lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
         begin, held = 0, 0

@@ -2,7 +2,9 @@
 
 A shard file holds blocks of 1,024 ids across documents, then a footer: each block's word offset,
 the doc_id and the number of ids of each document. Shards follow each other in doc_id order, so a
-document's place among all ids is its shard's offset plus its place in the shard.
+document's place among all ids is its shard's offset plus its place in the shard. A shard is closed when
+it is full, so that a task holds the footer of one of bounded size. Text that spells an added token is
+that token, as the library has it.
 
 Nulls and empty texts give a document of the end id alone. A null doc_id sorts before all others.
 Repeated doc_ids are kept, each row by itself, in the order of their texts. An empty table gives no
@@ -23,13 +25,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import chunks, files, simple8b
-from .common import checkpointed, prepare, shared_dir, slices
+from .common import checkpointed, prepare, resident, shared_dir, slices
 
 MAGIC = b"TS8B\x01\x00\x00\x00"
 CACHE_ENTRIES = 1_500_000
 #: Ids that are packed or unpacked at once.
 AT_ONCE = 512 * simple8b.BLOCK
-_encoders: dict[str, "LibraryEncoder"] = {}
+#: Ids and documents after which a shard file is closed and another one begun.
+SHARD_IDS, SHARD_DOCS = 1 << 26, 1 << 20
 
 
 class LibraryEncoder:
@@ -40,13 +43,16 @@ class LibraryEncoder:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
+        self.special = [t.content for t in self.model.get_added_tokens_decoder().values()]
         vocab = self.model.get_vocab(with_added_tokens=True)
         self.bytes_of = np.zeros(max(vocab.values()) + 1, np.int64)
         for token, i in vocab.items():
             self.bytes_of[i] = len(token)  # one character stands for each byte
         self.cache = chunks.Cache(CACHE_ENTRIES)
 
+    def close(self) -> None:
+        self.cache = None
+
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -76,19 +82,27 @@ class LibraryEncoder:
             found = self._ids([data[a:b].tobytes().decode() for a, b in zip(start[rest].tolist(), end[rest].tolist(), strict=True)])
             sizes[rest] = [len(x) for x in found]
             parts.append((rest, np.array([i for x in found for i in x], np.int32)))
-        flat = np.zeros(int(sizes.sum()), np.int32)
-        begin = np.cumsum(sizes, dtype=np.int64) - sizes
-        for which, ids in parts:
-            flat[chunks.expand(begin[which], sizes[which])] = ids
-        return sizes, flat
+        return sizes, chunks.gathered(parts, sizes)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row and each text's first. Texts that hold an added token's content aren't cut."""
+        whole = np.zeros(len(texts), bool)
+        for content in self.special:
+            whole |= pa.compute.fill_null(pa.compute.match_substring(texts, content), False).to_numpy(zero_copy_only=False)
+        if not whole.any():
+            return chunks.encode(texts, self.cache, self)
+        ids, first = chunks.encode(pa.compute.if_else(pa.array(whole), None, texts), self.cache, self)
+        sizes = np.diff(first)
+        found = self._ids(texts.filter(pa.array(whole)).to_pylist())
+        of = np.flatnonzero(whole)
+        sizes[of] = [len(x) for x in found]
+        every = chunks.gathered([(np.flatnonzero(~whole), ids), (of, np.array([i for x in found for i in x], np.int32))], sizes)
+        return every, np.concatenate([[0], np.cumsum(sizes)])
 
 
 def encode_texts(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts in a row and each text's first, by the vocabulary file at path."""
-    if path not in _encoders:
-        _encoders[path] = LibraryEncoder(path)
-    encoder = _encoders[path]
-    return chunks.encode(texts, encoder.cache, encoder)
+    return resident((__name__, path), lambda: LibraryEncoder(path)).encode(texts)
 
 
 class ShardWriter:
@@ -98,7 +112,7 @@ class ShardWriter:
         self.out = files.create(uri)
         self.out.write(MAGIC)
         self.rest: list[np.ndarray] = []
-        self.waiting = self.total = 0
+        self.waiting = self.total = self.n_docs = 0
         self.sizes: list[np.ndarray] = []
         self.docs: list[np.ndarray] = []
         self.known: list[np.ndarray] = []
@@ -111,6 +125,7 @@ class ShardWriter:
         self.rest.append(ids)
         self.waiting += len(ids)
         self.total += len(ids)
+        self.n_docs += len(docs)
         if self.waiting >= AT_ONCE:
             self._pack(self.waiting // AT_ONCE * AT_ONCE)
 
@@ -135,7 +150,7 @@ class ShardWriter:
 
 
 def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Write the shards of docs below folder; the manifest, one row a shard: part, path, n_docs, n_ids."""
+    """Write the shards of docs below folder; the manifest, one row a shard: part, number in it, path, n_docs, n_ids."""
     spark = docs.sparkSession
     prepare(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -145,9 +160,18 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int, doc_id: st
         from pyspark import TaskContext
 
         part, writer, uri = TaskContext.get().partitionId(), None, ""
-        for batch in slices(batches, "text"):
+
+        def closed_row() -> pa.RecordBatch:
+            n_docs, n_ids = writer.close()
+            return pa.RecordBatch.from_pydict({"part": [part], "number": [number], "path": [uri], "n_docs": [n_docs], "n_ids": [n_ids]})
+
+        number = 0
+        for batch in slices(batches, "text", keep=True):
+            if writer is not None and (writer.total >= SHARD_IDS or writer.n_docs >= SHARD_DOCS):
+                yield closed_row()
+                writer, number = None, number + 1
             if writer is None:
-                uri = files.new_name(f"{folder}/shards", f"{part:06d}")
+                uri = files.new_name(f"{folder}/shards", f"{part:06d}-{number:06d}")
                 writer = ShardWriter(uri)
             ids, first = encode_texts(batch.column("text"), vocabulary)
             closed = np.zeros(len(ids) + batch.num_rows, np.uint32)
@@ -156,10 +180,9 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int, doc_id: st
             key = batch.column("doc_id")
             writer.add(key.fill_null(0).to_numpy(zero_copy_only=False), key.is_valid().to_numpy(zero_copy_only=False), np.diff(first) + 1, closed)
         if writer is not None:
-            n_docs, n_ids = writer.close()
-            yield pa.RecordBatch.from_pydict({"part": [part], "path": [uri], "n_docs": [n_docs], "n_ids": [n_ids]})
+            yield closed_row()
 
-    return checkpointed(ordered.mapInArrow(shard, "part long, path string, n_docs long, n_ids long"), folder, "manifest")
+    return checkpointed(ordered.mapInArrow(shard, "part long, number long, path string, n_docs long, n_ids long"), folder, "manifest")
 
 
 class ShardReader:
@@ -191,8 +214,8 @@ class ShardReader:
 def read_digests(manifest: DataFrame) -> DataFrame:
     """Per document of the shards in the manifest: doc_id, start, n_tokens, ids_crc32."""
     prepare(manifest.sparkSession)
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a shard
-    placed = manifest.select("part", "path", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("offset"))
+    before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)  # one row a shard
+    placed = manifest.select("part", "number", "path", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("offset"))
     parts = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = placed.repartitionById(parts, F.col("part").cast("int"))
 

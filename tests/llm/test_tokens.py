@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import zlib
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,9 +23,12 @@ P = pytest.importorskip("public_tokenizers")
 def library():
     from tokenizers import Tokenizer
 
-    model = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    model.encode_special_tokens = True
-    return model
+    return Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+
+
+@cache
+def encoders():
+    return token_files.LibraryEncoder(P.path("byte_bpe_50k.json")), bpe.DuckBpe(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
 
 
 def reference():
@@ -45,8 +49,8 @@ def test_simple8b_round_trip(ids):
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(alphabet=st.sampled_from("ab' \n\t.,1é×ü日  　\x1c\x85s"), max_size=30) | st.none(), max_size=6))
 def test_texts_are_encoded_as_the_libraries_do(texts):
-    ids, first = token_files.encode_texts(pa.array(texts, pa.string()), P.path("byte_bpe_50k.json"))
-    model, own = library(), bpe.worker(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    (files, own), model = encoders(), library()
+    ids, first = files.encode(pa.array(texts, pa.string()))
     for i, t in enumerate(texts):
         assert ids[first[i] : first[i + 1]].tolist() == model.encode(t or "", add_special_tokens=False).ids
     ids, first = own.encode(pa.array(texts, pa.string()))
@@ -57,13 +61,19 @@ def test_texts_are_encoded_as_the_libraries_do(texts):
     assert own.decode(ids, first) == [(t or "").encode() for t in texts]
 
 
-def test_cache_finds_what_it_was_given_and_forgets_all_at_once():
-    cache = chunks.Cache(1000)
+def test_cache_finds_what_it_was_given_and_keeps_what_was_found_again():
+    cache = chunks.Cache(400)
     for k in range(40):
         keys = np.arange(k * 10, k * 10 + 10, dtype=np.uint64)
-        cache.add(keys, np.full(10, 2, np.int32), np.repeat(keys, 2).astype(np.int32))
-    assert cache.ids(cache.find(np.array([395, 3], np.uint64)))[1].tolist() == [395, 395, 3, 3]
-    assert cache.find(np.array([400], np.uint64)).tolist() == [-1]
+        cache.make_room(10)
+        assert (cache.find(keys, keys) < 0).all()
+        cache.add(keys, keys, np.full(10, 2, np.int32), np.repeat(keys, 2).astype(np.int32))
+    asked = np.array([395, 3], np.uint64)
+    assert cache.ids(cache.find(asked, asked))[1].tolist() == [395, 395, 3, 3]
+    assert cache.find(np.array([400, 395], np.uint64), np.array([400, 1], np.uint64)).tolist() == [-1, -1]  # the second has another check
+    cache.make_room(1)
+    assert cache.entries == 2 and cache.ids(cache.find(asked, asked))[1].tolist() == [395, 395, 3, 3]
+    assert cache.find(np.array([4], np.uint64), np.array([4], np.uint64)).tolist() == [-1]
 
 
 def test_token_files(spark, tmp_path):
@@ -81,6 +91,16 @@ def test_token_files(spark, tmp_path):
     assert token_files.write_and_read(spark, docs.limit(0), P.path("byte_bpe_50k.json")).count() == 0
 
 
+def test_full_shards_are_followed_by_others(spark, tmp_path, monkeypatch):
+    docs = data.frame(spark)
+    whole = token_files.write_and_read(spark, docs, P.path("byte_bpe_50k.json")).collect()
+    monkeypatch.setattr(token_files, "SHARD_DOCS", 1)
+    monkeypatch.setattr(token_files, "slices", lambda batches, *a, **b: (x.slice(i, 1) for x in batches for i in range(x.num_rows)))
+    manifest = token_files.write(docs, f"file://{tmp_path}", P.path("byte_bpe_50k.json"), 0)
+    assert manifest.count() == docs.count()
+    assert sorted(map(str, token_files.read_digests(manifest).collect())) == sorted(map(str, whole))
+
+
 def test_bpe_queries(spark):
     docs, enc = data.frame(spark), reference()
     path = P.path("byte_bpe_multi_50k.tiktoken")
