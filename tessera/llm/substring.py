@@ -5,20 +5,27 @@ of RUN words (its anchor); consecutive windows with one anchor are one entry of
 anchor's hash and a hash of all their words. Equal windows have equal anchors at equal places, so a
 window can be repeated only where its anchor's hash is.
 
-The index is a set of immutable runs in the shared folder, each sorted by anchor. A new batch is
-merge-joined with the runs; when there are too many, they are compacted into one. An entry seen
-twice is repeated whole. Windows whose anchor is seen with different words around it are verified
-one by one on hashes of all their words. Anchor and words are hashed by independent 64-bit codes,
-128 bits together.
+The index is a set of immutable runs in a folder: tables of one row an anchor, with its number of
+entries and the least and greatest hash of their words, bucketed and sorted by anchor. A new batch
+becomes a run itself and is merge-joined with the historical runs, bucket by bucket and without a
+shuffle; anchors that it repeats, in itself or in history, are its hits. When there are too many runs,
+they are compacted into one. A manifest names the runs, so an index can be opened again from its folder.
+
+The documents are then read again for the entries of all hits, older documents' too. An entry seen
+twice is repeated whole; windows whose anchor is seen with different words around it are verified one
+by one on hashes of all their words. Anchor and words are hashed by independent 64-bit codes, 128 bits
+together. Rows of an anchor are combined in each task before any shuffle.
 
 Null and empty texts and texts with fewer words than a window lose nothing. Repeated rows repeat
-each other's windows. Removal depends on the text alone, so ties and null ids change nothing. An
-empty table gives no rows. Columns besides doc_id and text are not read.
+each other's windows. Removal depends on the text alone, so ties and null ids change nothing, and ids
+may be of any type. An empty table gives no rows. Columns besides doc_id and text are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,12 +34,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bitfilter
-from .common import checkpointed, prepare, shared_dir, slices
+from .common import checkpointed, dropped, prepare, shared_dir, slices
 from .textkernel import U, Words, expand, mix, powers, sliding_argmin, window_hashes, within, words
 
 WINDOW, RUN = 35, 8
 MOST_RUNS = 4
 BATCHES = 2
+#: Entries that a task holds before it combines them, and anchors that it holds combined.
+HELD = 200_000
 
 
 class Anchors:
@@ -71,55 +80,110 @@ def _long(x: np.ndarray) -> pa.Array:
 
 
 def entries(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(h, c) of every entry of docs' texts."""
+    """(h, n, lo, hi) of docs' anchors: number of entries, least and greatest hash of their words, as combined by each task."""
+
+    def combined(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+        h, n, lo, hi = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(h, kind="stable")
+        h = h[order]
+        begin = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
+        return (h[begin], *(f.reduceat(x[order], begin) if len(h) else x for f, x in ((np.add, n), (np.minimum, lo), (np.maximum, hi))))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        waiting = 0
         for batch in slices(batches, "text"):
             a = Anchors(words(batch.column("text")), window)
-            yield pa.RecordBatch.from_arrays([_long(a.anchor), _long(a.context)], names=["h", "c"])
+            h, c = a.anchor.view(np.int64), a.context.view(np.int64)
+            held.append((h, np.ones(len(h), np.int64), c, c))
+            waiting += len(h)
+            if waiting > HELD:
+                held, waiting = [combined(held)], 0
+                if len(held[0][0]) > HELD:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in held.pop()], names=["h", "n", "lo", "hi"])
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in combined(held)], names=["h", "n", "lo", "hi"])
 
-    return docs.select("text").mapInArrow(rows, "h long, c long")
+    return docs.select("text").mapInArrow(rows, "h long, n long, lo long, hi long")
 
 
 class FingerprintIndex:
-    """Sorted immutable runs of (h, c, n) in a folder; n counts an entry's occurrences."""
+    """Runs of (h, n, lo, hi) in a folder, and the manifest that names them; opened again where there is one."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder, self.runs, self.made = spark, folder, [], 0
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.name = f"runs_{uuid.uuid4().hex}"
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        self._path = hadoop.Path
+        self._fs = hadoop.Path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        found = self._fs.globStatus(self._path(f"{folder}/manifest-*.json")) or []
+        if len(found):
+            latest = max(str(x.getPath().toString()) for x in found)
+            kept = json.loads(spark.read.text(latest, wholetext=True).first()[0])
+            self.runs, self.made, self.buckets = kept["runs"], kept["made"], kept["buckets"]
+            for run in self.runs:
+                spark.sql(f"CREATE TABLE {self._table(run)} (h long, n long, lo long, hi long) USING parquet CLUSTERED BY (h) SORTED BY (h) INTO {self.buckets} BUCKETS LOCATION '{folder}/{run}'")
+
+    def _table(self, run: str) -> str:
+        return f"{self.name}_{run}"
+
+    def read(self, run: str) -> DataFrame:
+        return self.spark.table(self._table(run))
 
     def _run(self, rows: DataFrame) -> str:
+        """A new run of rows that may repeat an anchor."""
         self.made += 1
-        path = f"{self.folder}/run-{self.made:05d}"
-        rows.sortWithinPartitions("h", "c").write.mode("overwrite").parquet(path)
-        return path
-
-    def _read(self, path: str) -> DataFrame:
-        return self.spark.read.schema("h long, c long, n long").parquet(path)
-
-    def add(self, batch: DataFrame) -> None:
-        """Add a batch of (h, c) as a run; compact when there are more than MOST_RUNS."""
-        self.runs.append(self._run(batch.groupBy("h", "c").agg(F.count("*").alias("n"))))
+        run = f"run_{self.made:06d}"
+        one = rows.repartition(self.buckets, "h").groupBy("h").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+        one.sortWithinPartitions("h").write.bucketBy(self.buckets, "h").sortBy("h").option("path", f"{self.folder}/{run}").mode("overwrite").saveAsTable(self._table(run))
+        return run
+
+    def _publish(self, runs: list[str]) -> None:
+        """The manifest is complete under another name before it gets its own; it goes up by one with each run made."""
+        made = self._path(f"{self.folder}/.manifest-{self.made:06d}")
+        out = self._fs.create(made, True)
+        out.write(json.dumps({"runs": runs, "made": self.made, "buckets": self.buckets}).encode())
+        out.close()
+        if not self._fs.rename(made, self._path(f"{self.folder}/manifest-{self.made:06d}.json")):
+            raise RuntimeError(f"another writer has published run {self.made} in {self.folder}")
+        gone, self.runs = set(self.runs) - set(runs), runs
+        for run in gone:
+            self._drop(run)
+
+    def _drop(self, run: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._table(run)}")
+        self._fs.delete(self._path(f"{self.folder}/{run}"), True)
+
+    def hits(self, run: str, history: list[str]) -> DataFrame:
+        """(h, mixed) of the run's anchors that are repeated, in it or by history; mixed: with different words around them."""
+        found = self.read(run)
+        lo, hi, again = [F.col("lo")], [F.col("hi")], F.col("n") > 1
+        for i, old in enumerate(history):
+            found = found.join(self.read(old).select("h", F.col("lo").alias(f"lo_{i}"), F.col("hi").alias(f"hi_{i}")).hint("merge"), "h", "left")
+            lo, hi, again = [*lo, F.col(f"lo_{i}")], [*hi, F.col(f"hi_{i}")], again | F.col(f"lo_{i}").isNotNull()
+        least, most = (F.least(*lo), F.greatest(*hi)) if history else (lo[0], hi[0])
+        return found.where(again).select("h", (least != most).alias("mixed"))
+
+    def add(self, batch: DataFrame) -> DataFrame:
+        """Add a batch of entries as a run, compact when there are more than MOST_RUNS; the batch's hits."""
+        run, history = self._run(batch), list(self.runs)
+        found = checkpointed(self.hits(run, history), self.folder, f"hits_{uuid.uuid4().hex}")
+        self._publish([*history, run])
         if len(self.runs) > MOST_RUNS:
             self.compact()
-
-    def merged(self) -> DataFrame:
-        """All entries with their counts over all runs."""
-        out = self._read(self.runs[0])
-        for path in self.runs[1:]:
-            out = out.unionByName(self._read(path))
-        return out.groupBy("h", "c").agg(F.sum("n").alias("n")) if len(self.runs) > 1 else out
+        return found
 
     def compact(self) -> None:
         """Merge all runs into one; the old ones go once the new one is complete."""
         if len(self.runs) > 1:
-            old, self.runs = self.runs, [self._run(self.merged())]
-            for path in old:
-                place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-                place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+            every = self.spark.read.schema("h long, n long, lo long, hi long").parquet(*[f"{self.folder}/{run}" for run in self.runs])
+            self._publish([self._run(every)])
 
-    def seen(self, batch: DataFrame) -> DataFrame:
-        """The batch's distinct anchors that the index holds already, by merge join."""
-        return batch.select("h").distinct().join(self.merged().select("h").distinct().hint("merge"), "h", "left_semi")
+    def delete(self) -> None:
+        for run in self.runs:
+            self._drop(run)
+        self._fs.delete(self._path(self.folder), True)
 
 
 def occurrences(docs: DataFrame, repeated: np.ndarray, mixed: np.ndarray, window: int) -> DataFrame:
@@ -145,25 +209,28 @@ def occurrences(docs: DataFrame, repeated: np.ndarray, mixed: np.ndarray, window
 
 def repeated_spans(docs: DataFrame, folder: str, window: int = WINDOW, batches: int = BATCHES) -> DataFrame:
     """For each row key (d, t) of docs, the spans of words covered by repeated windows: spans array of (low, high)."""
-    index = FingerprintIndex(docs.sparkSession, f"{folder}/index")
+    spark = docs.sparkSession
+    index, hits = FingerprintIndex(spark, f"{folder}/index"), None
     for b in range(batches):
-        index.add(entries(docs.where(F.pmod("t", F.lit(batches)) == b), window))
-    index.compact()
-    merged = index.merged()
-    by_anchor = checkpointed(merged.groupBy("h").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).where("n > 1").select("h", "kinds"), folder, "anchors")
-    found = checkpointed(occurrences(docs, bitfilter.build(by_anchor), bitfilter.build(by_anchor.where("kinds > 1")), window), folder, "occurrences")
-    twice = merged.where("n > 1").select("h", "c", F.lit(True).alias("whole"))
+        found = index.add(entries(docs.where(F.pmod("t", F.lit(batches)) == b), window))
+        hits = found if hits is None else hits.unionByName(found)
+    anchors = checkpointed(hits.groupBy("h").agg(F.max("mixed").alias("mixed")), folder, "anchors")  # the last batch to hit has seen all of history
+    index.delete()
+    found = checkpointed(occurrences(docs, bitfilter.build(anchors), bitfilter.build(anchors.where("mixed")), window), folder, "occurrences")
+    dropped(spark, folder, "anchors")
+    # Tables, so that the joins can split an entry or window that many documents share.
+    twice = checkpointed(found.groupBy("h", "c").agg(F.count("*").alias("n")).where("n > 1").select("h", "c", F.lit(True).alias("whole")), folder, "twice")
     judged = found.join(twice, ["h", "c"], "left")
     whole = judged.where("whole").select("d", "t", "low", (F.col("high") + window - 1).alias("high"))
-    again = found.select("h", F.explode("w").alias("w")).groupBy("h", "w").agg(F.count("*").alias("n")).where("n > 1").select("h", "w")
+    again = checkpointed(found.select("h", F.explode("w").alias("w")).groupBy("h", "w").agg(F.count("*").alias("n")).where("n > 1").select("h", "w"), folder, "again")
     single = judged.where("whole is null and size(w) > 0").select("d", "t", "low", "h", F.posexplode("w").alias("k", "w")).join(again, ["h", "w"])
     single = single.select("d", "t", (F.col("low") + F.col("k")).alias("low"), (F.col("low") + F.col("k") + window - 1).alias("high"))
     return whole.unionByName(single).groupBy("d", "t").agg(F.collect_set(F.struct("low", "high")).alias("spans"))  # a set: at most a text's own windows
 
 
-def keyed(docs: DataFrame, doc_id: str, text: str) -> dict[str, Column]:
-    """Key of a row's content; null ids and the least number may share one, as removal depends on the text."""
-    return {"d": F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))), "t": F.xxhash64(F.coalesce(F.col(text), F.lit("")))}
+def keyed(doc_id: str, text: str) -> dict[str, Column]:
+    """Key of a row's content; ids that share a hash do no harm, as removal depends on the text."""
+    return {"d": F.xxhash64(F.col(doc_id)), "t": F.xxhash64(F.coalesce(F.col(text), F.lit("")))}
 
 
 def removed(batch: pa.RecordBatch, text: str, spans: str) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
@@ -189,7 +256,7 @@ def removed(batch: pa.RecordBatch, text: str, spans: str) -> tuple[np.ndarray, n
 
 def _spanned(docs: DataFrame, folder: str, doc_id: str, text: str, window: int, batches: int) -> DataFrame:
     prepare(docs.sparkSession)
-    keys = keyed(docs, doc_id, text)
+    keys = keyed(doc_id, text)
     spans = repeated_spans(docs.select(F.col(text).alias("text"), *(v.alias(k) for k, v in keys.items())), folder, window, batches)
     spans = spans.select(F.col("d").alias("__d"), F.col("t").alias("__t"), F.col("spans").alias("__spans"))
     return docs.join(spans, (keys["d"] == F.col("__d")) & (keys["t"] == F.col("__t")), "left").drop("__d", "__t")
@@ -205,7 +272,8 @@ def digests(docs: DataFrame, window: int = WINDOW, batches: int = BATCHES, folde
             n, gone, kept = removed(batch, "text", "__spans")
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in kept])], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    return joined.mapInArrow(rows, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return joined.mapInArrow(rows, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string")
 
 
 def strip(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, batches: int = BATCHES, folder: str | None = None) -> DataFrame:

@@ -123,13 +123,21 @@ def test_substring_dedup(spark, tmp_path):
     assert substring.digests(data.frame(spark, [])).count() == 0
 
 
-def test_index_answers_for_new_batches(spark, tmp_path):
-    index = substring.FingerprintIndex(spark, f"file://{tmp_path}/index")
-    old, new = data.frame(spark).where("doc_id < 30"), data.frame(spark).where("doc_id >= 30")
-    index.add(substring.entries(old))
-    seen = {r["h"] for r in index.seen(substring.entries(new)).collect()}
-    anchors = lambda df: {r["h"] for r in substring.entries(df).collect()}
-    assert seen == anchors(old) & anchors(new) and seen
+def test_a_new_batch_is_joined_with_the_runs_of_an_index_opened_again(spark, tmp_path):
+    rows = data.rows() + near_copies()
+    every = data.frame(spark, rows).select("doc_id", "text")
+    tally = lambda df: {r["h"]: (r["n"], r["lo"], r["hi"]) for r in substring.entries(df, 12).groupBy("h").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).collect()}
+    hits, history = {}, every.limit(0)
+    for k in range(6):  # compacted on the way
+        index = substring.FingerprintIndex(spark, f"file://{tmp_path}/index")
+        batch = every.where(f"pmod(coalesce(doc_id, 0), 6) = {k}")
+        found = {r["h"]: r["mixed"] for r in index.add(substring.entries(batch, 12)).collect()}
+        old, new = tally(history), tally(batch)
+        assert found == {h: min(lo, old.get(h, (0, lo))[1]) != max(hi, old.get(h, (0, 0, hi))[2]) for h, (n, lo, hi) in new.items() if n > 1 or h in old}
+        hits, history = hits | found, history.unionByName(batch)
+    assert 1 < len(index.runs) <= substring.MOST_RUNS + 1
+    assert hits == {h: lo != hi for h, (n, lo, hi) in tally(every).items() if n > 1} and set(hits.values()) == {True, False}
+    index.delete()
 
 
 def tokens(text):
@@ -144,7 +152,7 @@ def aligned(docs, items):
         for i, it in items:
             x = tokens(it)
             wide = min(13, len(x))
-            for o in range(-len(x), len(w)) if len(x) >= 5 else ():
+            for o in range(-len(x), len(w)) if x else ():
                 low, high = max(0, -o), min(len(x), len(w) - o)
                 same = [w[o + j] == x[j] for j in range(low, high)]
                 best = max((sum(same[k : k + wide]) for k in range(len(same) - wide + 1)), default=0)
