@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import lexicon as L
@@ -13,28 +13,41 @@ def _any(col: Column, alternatives: tuple[str, ...]) -> Column:
     return col.rlike(rx(alternatives))
 
 
-def event(text: Column) -> Column:
-    """thesis, event_class, strength and matched of a text: the first rule that fits decides."""
+EVENT_FAMILIES = {
+    "proposed": L.PROPOSED_JUDGMENT, "outcome": L.VERDICT, "form": L.PROPOSED_VERDICT, "entered": L.JUDGMENT_ENTERED, "appeal": L.APPEAL,
+    "approved": L.SETTLEMENT_APPROVED, "settled": L.SETTLEMENT_REACHED, "antitrust": L.ANTITRUST,
+}
+
+
+def with_event(rows: DataFrame, text: Column, prefix: str = "", matched: bool = False) -> DataFrame:
+    """rows with thesis, event_class and strength of a text, and matched if asked: the first rule that fits decides.
+
+    Each family is looked for once, in a projection of its own.
+    """
     t = F.coalesce(text, F.lit(""))
-    proposed, entered, appeal, settled, approved, antitrust = (_any(t, x) for x in (L.PROPOSED_JUDGMENT, L.JUDGMENT_ENTERED, L.APPEAL, L.SETTLEMENT_REACHED, L.SETTLEMENT_APPROVED, L.ANTITRUST))
-    verdict = _any(t, L.VERDICT) & ~_any(t, L.PROPOSED_VERDICT)  # a proposed verdict form is no outcome
-    open_thesis = F.when(antitrust, "antitrust_followon").otherwise("post_settlement")
-
-    def hit(thesis: Column, kind: str, strength: Column, matched: Column) -> Column:
-        return F.struct(thesis.alias("thesis"), F.lit(kind).alias("event_class"), strength.alias("strength"), matched.alias("matched"))
-
-    judgment = F.lit("judgment_monetization")
-    return (
-        F.when(proposed, hit(open_thesis, "settlement_proposed", F.when(antitrust, 0.85).otherwise(0.7), found(t, L.PROPOSED_JUDGMENT)))
-        .when(verdict, hit(judgment, "verdict", F.lit(0.9), found(t, L.VERDICT)))
-        .when(entered & appeal, hit(judgment, "appeal", F.lit(0.95), F.concat(found(t, L.JUDGMENT_ENTERED), found(t, L.APPEAL))))
-        .when(entered, hit(judgment, "judgment_entered", F.lit(0.8), found(t, L.JUDGMENT_ENTERED)))
-        .when(appeal, hit(judgment, "appeal", F.lit(0.6), found(t, L.APPEAL)))
-        .when(approved, hit(F.lit("post_settlement"), "settlement_approved", F.lit(0.8), found(t, L.SETTLEMENT_APPROVED)))
-        .when(settled, hit(open_thesis, "settlement_reached", F.when(antitrust, 0.85).otherwise(0.75), found(t, L.SETTLEMENT_REACHED)))
-        .when(antitrust, hit(F.lit("antitrust_followon"), "enforcement", F.lit(0.4), found(t, L.ANTITRUST)))
-        .otherwise(hit(F.lit("none"), "other", F.lit(0.0), F.array().cast("array<string>")))
-    )
+    rows = rows.withColumns({f"__{k}": _any(t, family) for k, family in EVENT_FAMILIES.items()})
+    proposed, entered, appeal, approved, settled, antitrust = (F.col(f"__{k}") for k in ("proposed", "entered", "appeal", "approved", "settled", "antitrust"))
+    verdict = F.col("__outcome") & ~F.col("__form")  # a proposed verdict form is no outcome
+    open_thesis, judgment = F.when(antitrust, "antitrust_followon").otherwise("post_settlement"), F.lit("judgment_monetization")
+    rules = [
+        (proposed, open_thesis, "settlement_proposed", F.when(antitrust, 0.85).otherwise(0.7), (L.PROPOSED_JUDGMENT,)),
+        (verdict, judgment, "verdict", F.lit(0.9), (L.VERDICT,)),
+        (entered & appeal, judgment, "appeal", F.lit(0.95), (L.JUDGMENT_ENTERED, L.APPEAL)),
+        (entered, judgment, "judgment_entered", F.lit(0.8), (L.JUDGMENT_ENTERED,)),
+        (appeal, judgment, "appeal", F.lit(0.6), (L.APPEAL,)),
+        (approved, F.lit("post_settlement"), "settlement_approved", F.lit(0.8), (L.SETTLEMENT_APPROVED,)),
+        (settled, open_thesis, "settlement_reached", F.when(antitrust, 0.85).otherwise(0.75), (L.SETTLEMENT_REACHED,)),
+        (antitrust, F.lit("antitrust_followon"), "enforcement", F.lit(0.4), (L.ANTITRUST,)),
+    ]
+    out = {"thesis": F.lit("none"), "event_class": F.lit("other"), "strength": F.lit(0.0), "matched": F.array().cast("array<string>")}
+    for fits, thesis, kind, strength, families in reversed(rules):
+        told = {"thesis": thesis, "event_class": F.lit(kind), "strength": strength}
+        if matched:
+            told["matched"] = F.concat(*[found(t, f) for f in families])
+        out = out | {k: F.when(fits, v).otherwise(out[k]) for k, v in told.items()}
+    if not matched:
+        del out["matched"]
+    return rows.withColumns({prefix + k: v for k, v in out.items()}).drop(*[f"__{k}" for k in EVENT_FAMILIES])
 
 
 def practice_hints(text: Column) -> Column:
@@ -45,27 +58,33 @@ FORFEITURE_REASON = "government asset forfeiture -- no assignable claim and no c
 CARVEOUT_REASON = "criminal signals present but antitrust carve-out applies -- criminal antitrust leads to follow-on civil damages"
 
 
-def exclusion(text: Column) -> Column:
-    """excluded, area, matched and reason: areas in order, then criminal unless antitrust carves it out."""
-    t = F.coalesce(text, F.lit(""))
-    out = None
-    rules = [(name, family, F.lit(FORFEITURE_REASON if name == "forfeiture" else f"lexical screen matched {name} terms")) for name, family in (("intellectual_property", L.IP), ("international_arbitration", L.INTL_ARB), ("consumer", L.CONSUMER), ("forfeiture", L.FORFEITURE))]
-
-    def verdict(excluded: bool, area: str, matched: Column, reason: Column) -> Column:
-        return F.struct(F.lit(excluded).alias("excluded"), F.lit(area).alias("area"), matched.alias("matched"), reason.alias("reason"))
+AREA_FAMILIES = {"intellectual_property": L.IP, "international_arbitration": L.INTL_ARB, "consumer": L.CONSUMER, "forfeiture": L.FORFEITURE}
 
-    for name, family, why in rules:
-        hits = found(t, family)
-        value = verdict(True, name, hits, F.concat(why, F.lit(": "), F.array_join(F.slice(hits, 1, 3), ", ")))
-        out = F.when(_any(t, family), value) if out is None else out.when(_any(t, family), value)
-    hits = found(t, L.CRIMINAL)
-    out = out.when(_any(t, L.CRIMINAL) & _any(t, L.CRIMINAL_CARVEOUT), verdict(False, "none", hits, F.lit(CARVEOUT_REASON)))
-    out = out.when(_any(t, L.CRIMINAL), verdict(True, "criminal", hits, F.concat(F.lit("criminal prosecution -- no damages award to monetize: "), F.array_join(F.slice(hits, 1, 3), ", "))))
-    return out.otherwise(verdict(False, "none", F.array().cast("array<string>"), F.lit("")))
 
-
-def audit_line(verdict: Column) -> Column:
-    return F.when(~verdict["excluded"], "kept").otherwise(F.concat(F.lit("excluded["), verdict["area"], F.lit("] on "), F.array_join(F.slice(verdict["matched"], 1, 3), ", ")))
+def with_exclusion(rows: DataFrame, text: Column, prefix: str = "", reasons: bool = False) -> DataFrame:
+    """rows with excluded and area of a text, and matched and reason if asked: areas in order, then criminal unless antitrust carves it out."""
+    t = F.coalesce(text, F.lit(""))
+    families = {**AREA_FAMILIES, "criminal": L.CRIMINAL, "carveout": L.CRIMINAL_CARVEOUT}
+    rows = rows.withColumns({f"__{k}": _any(t, family) for k, family in families.items()})
+    criminal, carved = F.col("__criminal"), F.col("__carveout")
+    shown = lambda why, hits: F.concat(F.lit(f"{why}: "), F.array_join(F.slice(hits, 1, 3), ", "))
+    hits = {k: found(t, family) for k, family in families.items()} if reasons else {}
+    out = {"area": F.when(criminal & ~carved, "criminal").otherwise("none")}
+    if reasons:
+        out["matched"] = F.when(criminal, hits["criminal"]).otherwise(F.array().cast("array<string>"))
+        out["reason"] = F.when(criminal & carved, CARVEOUT_REASON).when(criminal, shown("criminal prosecution -- no damages award to monetize", hits["criminal"])).otherwise("")
+    for name in reversed(AREA_FAMILIES):
+        fits = F.col(f"__{name}")
+        out["area"] = F.when(fits, name).otherwise(out["area"])
+        if reasons:
+            why = FORFEITURE_REASON if name == "forfeiture" else f"lexical screen matched {name} terms"
+            out |= {"matched": F.when(fits, hits[name]).otherwise(out["matched"]), "reason": F.when(fits, shown(why, hits[name])).otherwise(out["reason"])}
+    rows = rows.withColumns({prefix + k: v for k, v in out.items()}).drop(*[f"__{k}" for k in families])
+    return rows.withColumn(prefix + "excluded", F.col(prefix + "area") != "none")
+
+
+def audit_line(excluded: Column, area: Column, matched: Column) -> Column:
+    return F.when(~excluded, "kept").otherwise(F.concat(F.lit("excluded["), area, F.lit("] on "), F.array_join(F.slice(matched, 1, 3), ", ")))
 
 
 def stage(posture: Column, event_type: Column) -> Column:

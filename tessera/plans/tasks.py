@@ -2,20 +2,44 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import normal_name
 
-#: Normalised aliases of claims agents.
-VENDORS = {
-    "stretto": "stretto", "kroll": "kroll", "prime clerk": "kroll", "epiq": "epiq", "verita": "verita", "kurtzman carson": "verita", "kcc": "verita",
-    "omni agent": "omni", "donlin": "donlin", "bmc group": "bmc", "stretto inc": "stretto",
+#: Claims agents and the names that courts print for them.
+AGENTS = {
+    "epiq": ("epiq", "epiq corporate restructuring", "epiq bankruptcy solutions", "epiq systems"),
+    "stretto": ("stretto", "bankruptcy management solutions"),
+    "kroll": ("kroll", "kroll restructuring administration", "prime clerk", "ra kroll"),
+    "verita": ("verita", "verita global", "kurtzman carson", "kurtzman carson consultants", "kcc"),
+    "omni": ("omni", "omni agent solutions", "omni management group", "omni management"),
+    "angeion": ("donlin", "donlin recano", "donlin, recano", "recano", "angeion"),
+    "bmc": ("bmc", "bmc group"),
+    "logan": ("logan", "logan & company", "logan and company"),
+    "reliable": ("reliable", "reliable companies"),
+    "american_legal": ("american legal", "american legal claim services"),
+    "gcg": ("gcg", "garden city group"),
+    "cpt": ("cpt", "cpt group"),
 }
 
 
+def load_agents(path: str) -> dict[str, tuple[str, ...]]:
+    """Agents and their aliases from a TOML file of [[agent]] tables with id and aliases."""
+    import tomllib
+
+    with open(path, "rb") as file:
+        return {a["id"]: tuple(a.get("aliases", ())) for a in tomllib.load(file)["agent"]}
+
+
+def normal_text(name: str) -> str:
+    """As functions.text.normal_name, of a constant."""
+    return re.sub("[^a-z0-9]+", " ", name.lower().replace("&", " and ")).strip()
+
+
 def day_query_form(spark: SparkSession, as_of: str, days: int, queries: list[str], forms: list[str]) -> DataFrame:
     """A task for each day, form and query, and one anchor that must always find something."""
     day = F.explode(F.sequence(F.date_sub(F.lit(as_of).cast("date"), days - 1), F.lit(as_of).cast("date"))).alias("day")
@@ -30,12 +54,14 @@ def business_days(spark: SparkSession, as_of: str, days: int) -> DataFrame:
     return rows.select("day", F.concat(F.lit("edgar/daily-index/"), F.year("day").cast("string"), F.lit("/QTR"), F.quarter("day").cast("string")).alias("path"))
 
 
-def vendor(agent: Column) -> Column:
-    """Vendor of an agent's name: the longest alias it contains; none_retained if blank, else unmapped."""
+def vendor(agent: Column, agents: Mapping[str, Sequence[str]] = AGENTS) -> Column:
+    """Vendor of an agent's name: the longest alias it contains (ties: the first in order); none_retained if blank, else unmapped."""
     name = normal_name(agent)
-    aliases = F.array(*[F.struct(F.lit(len(a)).alias("n"), F.lit(a).alias("alias"), F.lit(v).alias("vendor")) for a, v in VENDORS.items()])
-    best = F.array_max(F.filter(aliases, lambda x: F.contains(name, x["alias"])))
-    return F.when(F.coalesce(name, F.lit("")) == "", "none_retained").otherwise(F.coalesce(best["vendor"], F.lit("unmapped")))
+    aliases = sorted(((normal_text(a), v) for v, names in agents.items() for a in names), key=lambda x: -len(x[0]))
+    out = F.when(F.coalesce(name, F.lit("")) == "", "none_retained")
+    for alias, v in aliases:
+        out = out.when(F.contains(name, F.lit(alias)), v)
+    return out.otherwise("unmapped")
 
 
 def longest_suffix(host: Column, keys: Mapping[str, str], default: str) -> Column:

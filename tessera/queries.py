@@ -78,29 +78,38 @@ _RANKED_SQL = f"SELECT *, row_number() OVER (ORDER BY score DESC, item_uid) AS r
 @query(f"SELECT rank_in_run, item_uid, cluster_key, cluster_size, score FROM ({_RANKED_SQL}) WHERE rank_in_run <= 100")
 def top_matters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hundred best matters: score, cluster, rank."""
-    heads = cluster.clustered(_scored(spark, sf_dir)).where("is_primary").orderBy(F.desc("score"), "item_uid").limit(100)
+    heads = cluster.heads(cluster.with_matter(_scored(spark, sf_dir))).orderBy(F.desc("score"), "item_uid").limit(100)
     place = F.row_number().over(Window.orderBy(F.desc("score"), "item_uid")).cast("long")  # of a hundred rows
     return heads.select(place.alias("rank_in_run"), "item_uid", "cluster_key", "cluster_size", "score")
 
 
-@query(f"SELECT item_uid, rank_in_run, score FROM ({_RANKED_SQL})")
+_ALL_RANKED_SQL = f"SELECT *, CASE WHEN is_primary THEN row_number() OVER (PARTITION BY is_primary ORDER BY score DESC, item_uid) END AS rank_in_run FROM ({_CLUSTERED_SQL})"
+
+
+@query(f"SELECT item_uid, rank_in_run, score FROM ({_ALL_RANKED_SQL})")
 def rank_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every matter's rank."""
+    """Every matter's rank; other documents of a matter have none."""
     return cluster.ranked(cluster.clustered(_scored(spark, sf_dir))).select("item_uid", "rank_in_run", "score")
 
 
+@query(f"SELECT item_uid, rank_in_run, score, cluster_key, cluster_size, is_primary, case_caption, title, deal_thesis, event_type, damages_usd, event_date, venue, practice_area FROM ({_ALL_RANKED_SQL})")
+def ranked_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its matter's rank and all that is shown of it."""
+    return cluster.ranked(cluster.clustered(_scored(spark, sf_dir))).select("item_uid", "rank_in_run", "score", "cluster_key", "cluster_size", "is_primary", "case_caption", "title", "deal_thesis", "event_type", "damages_usd", "event_date", "venue", "practice_area")
+
+
 @query(f"SELECT count(*) AS n_rows, count(DISTINCT cluster_key) AS matters, CAST(sum((is_primary AND cluster_size > 1)::INT) AS BIGINT) AS with_duplicates, count(*) - count(DISTINCT cluster_key) AS absorbed FROM ({_CLUSTERED_SQL})")
 def cluster_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sizes = cluster.clustered(_scored(spark, sf_dir)).groupBy("cluster_key").agg(F.count("*").alias("n"))
+    sizes = cluster.with_matter(A.extractions(spark, sf_dir)).groupBy("cluster_key").agg(F.count("*").alias("n"))
     return sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count("*").alias("matters"), F.count_if(F.col("n") > 1).alias("with_duplicates"), (F.coalesce(F.sum("n"), F.lit(0)) - F.count("*")).alias("absorbed"))
 
 
 @query(f"SELECT cluster_key, item_uid, score FROM ({_CLUSTERED_SQL}) WHERE NOT is_primary AND cluster_key IN (SELECT cluster_key FROM ({_RANKED_SQL}) WHERE rank_in_run <= 20)")
 def cluster_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The other documents of the twenty best matters."""
-    rows = cluster.clustered(_scored(spark, sf_dir))
-    shown = rows.where("is_primary").orderBy(F.desc("score"), "item_uid").limit(20).select("cluster_key")
-    return rows.where("not is_primary").join(F.broadcast(shown), "cluster_key", "left_semi").select("cluster_key", "item_uid", "score")  # twenty keys
+    rows = cluster.with_matter(_scored(spark, sf_dir))
+    shown = cluster.heads(rows).orderBy(F.desc("score"), "item_uid").limit(20).select("cluster_key", F.col("item_uid").alias("primary_uid"))
+    return rows.join(F.broadcast(shown), "cluster_key").where("item_uid <> primary_uid").select("cluster_key", "item_uid", "score")  # twenty keys
 
 
 _BAND_SQL = "CASE WHEN damages_usd IS NULL OR damages_usd <= 0 THEN 'Not stated' " + " ".join(f"WHEN damages_usd < {hi} THEN '{b}'" for b, _, hi in L.SIZE_BANDS[:-1]) + f" ELSE '{L.SIZE_BANDS[-1][0]}' END"
@@ -154,7 +163,7 @@ _AREA_SQL = f"""CASE WHEN {_has('body', L.IP)} THEN 'intellectual_property' WHEN
 
 @query(f"SELECT item_uid, thesis, event_class, strength FROM ({_CLASSIFIED_SQL})")
 def classify_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.items(spark, sf_dir).withColumn("hit", classify.event(F.col("body"))).select("item_uid", "hit.thesis", "hit.event_class", "hit.strength")
+    return classify.with_event(A.items(spark, sf_dir), F.col("body")).select("item_uid", "thesis", "event_class", "strength")
 
 
 @query(f"""SELECT item_uid, concat_ws(',', CASE WHEN {_has('body', L.ANTITRUST)} THEN 'antitrust' END, CASE WHEN {_has('body', L.BANKRUPTCY)} THEN 'bankruptcy' END, CASE WHEN {_has('body', L.COMMERCIAL)} THEN 'commercial' END) AS hints FROM ({A.ITEMS_SQL})""")
@@ -164,12 +173,12 @@ def practice_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT item_uid, area <> 'none' AS excluded, area FROM (SELECT item_uid, {_AREA_SQL} AS area FROM ({A.ITEMS_SQL}))")
 def exclusion_screen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.items(spark, sf_dir).withColumn("v", classify.exclusion(F.col("body"))).select("item_uid", "v.excluded", "v.area")
+    return classify.with_exclusion(A.items(spark, sf_dir), F.col("body")).select("item_uid", "excluded", "area")
 
 
 @query(f"SELECT area, count(*) AS n, min(body) AS sample FROM (SELECT body, {_AREA_SQL} AS area FROM ({A.ITEMS_SQL})) GROUP BY 1")
 def screen_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.items(spark, sf_dir).groupBy(classify.exclusion(F.col("body"))["area"].alias("area")).agg(F.count("*").alias("n"), F.min("body").alias("sample"))
+    return classify.with_exclusion(A.items(spark, sf_dir), F.col("body")).groupBy("area").agg(F.count("*").alias("n"), F.min("body").alias("sample"))
 
 
 @query("SELECT item_uid, CASE " + " ".join(f"WHEN {_has('body', p)} THEN {_text(s)}" for s, p in L.STAGES) + f" ELSE 'Active litigation' END AS stage FROM ({A.ITEMS_SQL})")
@@ -191,8 +200,9 @@ def jurisdiction_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT item_uid, strength, observed FROM (SELECT item_uid, strength, published_at AS observed FROM ({_CLASSIFIED_SQL}) WHERE thesis <> 'none' AND ({_AREA_SQL}) = 'none' ORDER BY strength DESC, published_at DESC, item_uid LIMIT {L.CANDIDATES_A_DAY})")
 def candidate_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The day's candidates for extraction: in scope, with a signal, strongest first."""
-    rows = A.items(spark, sf_dir).withColumns({"hit": classify.event(F.col("body")), "v": classify.exclusion(F.col("body"))}).where("hit.thesis <> 'none' and not v.excluded")
-    return rows.select("item_uid", "hit.strength", F.col("published_at").alias("observed")).orderBy(F.desc("strength"), F.desc("observed"), "item_uid").limit(L.CANDIDATES_A_DAY)
+    signalled = classify.with_event(A.items(spark, sf_dir), F.col("body")).where("thesis <> 'none'")
+    rows = classify.with_exclusion(signalled, F.col("body")).where("not excluded")
+    return rows.select("item_uid", "strength", F.col("published_at").alias("observed")).orderBy(F.desc("strength"), F.desc("observed"), "item_uid").limit(L.CANDIDATES_A_DAY)
 
 
 # --- Keys, merges, access layer ------------------------------------------------------------------
@@ -200,14 +210,14 @@ def candidate_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
 def caption_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, name = F.col("p_partkey"), F.concat(F.initcap("p_name"), F.lit(" "), F.col("p_partkey").cast("string"))
     caption = F.when(k % 4 == 0, F.concat(F.lit("United States of America and 17 States v. "), name, F.lit(", Inc. (appeal)"))).when(k % 4 == 1, "United States").otherwise(F.concat(F.lit("The "), name, F.lit(" Co., LLC v. Smith & Co.")))
-    return A.read(spark, sf_dir, "part").select("p_partkey", cluster.caption_key(caption).alias("caption_key"))
+    return cluster.with_caption_key(A.read(spark, sf_dir, "part"), caption, "caption_key").select("p_partkey", "caption_key")
 
 
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN '' ELSE '26-cv-' || CAST(o_orderkey % 100000 AS VARCHAR) END AS docket_key FROM orders")
 def docket_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.lpad((F.col("o_orderkey") % 100000).cast("string"), 5, "0")
     text = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("No. 1:26-cv-"), number)).when(F.col("o_orderkey") % 3 == 1, F.concat(F.lit("26-CV-"), number, F.lit(" (PAE)"))).otherwise("sealed")
-    return A.read(spark, sf_dir, "orders").select("o_orderkey", cluster.docket_key(text).alias("docket_key"))
+    return cluster.with_docket_key(A.read(spark, sf_dir, "orders"), text, "docket_key").select("o_orderkey", "docket_key")
 
 
 @query("SELECT doc_id, sha256(source || chr(0) || CAST(doc_id AS VARCHAR)) AS item_uid FROM documents")

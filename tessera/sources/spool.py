@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import blank_to_null, collapse, moment, strip
+from ..plans.tasks import normal_text
 
 
 def artifacts(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
@@ -136,8 +137,8 @@ def numbered_lines(text: DataFrame) -> DataFrame:
 
 #: Words of headers that name a column's role, in the order they are tried.
 ROLES = (
-    ("case number", "case_number"), ("case no", "case_number"), ("docket", "case_number"), ("agent", "agent"), ("debtor", "debtor"), ("title", "debtor"),
-    ("case name", "debtor"), ("judge", "judge"), ("date", "date_filed"), ("vicinage", "vicinage"),
+    ("case", "case_number"), ("debtor", "debtor"), ("title", "debtor"), ("claims agent", "agent"), ("link to claims agent website", "agent"), ("agent", "agent"),
+    ("date filed", "date_filed"), ("filed", "date_filed"), ("vicinage", "vicinage"), ("judge", "judge"),
 )
 
 
@@ -175,8 +176,9 @@ def roles(headers: list[str]) -> dict[str, int]:
     """Column of each role: the first column that claims it; a column whose role is taken tries its next."""
     out: dict[str, int] = {}
     for i, h in enumerate(headers):
+        name = normal_text(h)
         for word, role in ROLES:
-            if word in h.lower() and role not in out:
+            if word in name and role not in out:
                 out[role] = i
                 break
     return out
@@ -192,9 +194,9 @@ def _assignments(content: bytes) -> list[tuple]:
             continue
         for row in table[1:]:
             get = lambda role: row[at[role]][0] if role in at and at[role] < len(row) else ""  # noqa: E731,B023
-            number = re.search(r"\d{2}-\d{4,6}", get("case_number"))
+            number = re.search(r"\b(\d{2}-\d{4,6})(?:-[A-Za-z]{2,4})?\b", get("case_number"))
             if number:
-                out.append((number[0], get("case_number"), get("debtor"), get("agent"), row[at["agent"]][1] if at["agent"] < len(row) else "", get("date_filed"), get("judge")))
+                out.append((number[1], get("case_number"), get("debtor"), get("agent"), row[at["agent"]][1] if at["agent"] < len(row) else "", get("date_filed"), get("judge")))
     return out
 
 
@@ -204,7 +206,40 @@ def assignment_tables(spool: DataFrame) -> DataFrame:
 
 
 # --- Mail ----------------------------------------------------------------------------------------
-LABELS = ("Index Number", "Case Name", "Court", "County", "Justice", "Notification Type", "Date Filed", "Document")
+#: Labels of an alert's fields, as patterns.
+LABELS = (
+    "index number", r"index no\.?", "case name", "caption", "court", "county", "appearance date", "appearance type", "justice", "judge", "document", "date filed", "filed",
+    "efiling status", "status", "motion", "notification type",
+)
+#: An index number, with or without its label.
+INDEX_NUMBER = r"(?i)\b(?:index\s*(?:no\.?|number)?\s*[:#]?\s*)?(\d{3,7}\s*/\s*(?:19|20)\d{2})\b"
+#: Words that tell what an alert is about, in the order they are tried.
+EVENT_WORDS = (
+    ("decision", "decision"), ("order", "decision"), ("judgment", "judgment"), ("disposed", "disposition"), ("disposition", "disposition"), ("motion", "motion"),
+    ("appearance", "appearance"), ("document", "filing"), ("filing", "filing"),
+)
+
+
+def index_number(text: Column) -> Column:
+    """The first index number in a text without its spaces, or null."""
+    return F.nullif(F.regexp_replace(F.regexp_extract(F.coalesce(text, F.lit("")), INDEX_NUMBER, 1), r"\s+", ""), F.lit(""))
+
+
+def event_kind(text: Column) -> Column:
+    """Kind of an alert by the first of EVENT_WORDS in its text, else notification."""
+    out, low = F.lit("notification"), F.lower(F.coalesce(text, F.lit("")))
+    for word, kind in reversed(EVENT_WORDS):
+        out = F.when(F.contains(low, F.lit(word)), kind).otherwise(out)
+    return out
+
+
+def labelled(body: Column) -> Column:
+    """Map of the labelled lines of a text, label in lower case to value; the last of a label counts."""
+    line = rf"(?im)^[ \t]*({'|'.join(LABELS)})[ \t]*[:\-][ \t]*(\S.*?)[ \t\r]*$"
+    pair = lambda i: F.regexp_extract_all(body, F.lit(line), F.lit(i))
+    pairs = F.reverse(F.arrays_zip(F.transform(pair(1), lambda x: F.lower(x)).alias("k"), pair(2).alias("v")))
+    first = F.filter(pairs, lambda p, i: F.array_position(F.transform(pairs, lambda q: q["k"]), p["k"]) == i + 1)
+    return F.map_from_entries(first)
 
 
 def _mail(content: bytes) -> list[tuple]:
@@ -220,17 +255,15 @@ def _mail(content: bytes) -> list[tuple]:
     return [(sender, str(m["Subject"] or ""), str(m["Message-ID"] or "").strip(), str(m["Date"] or ""), body)] if sender or body.strip() else []
 
 
-def alerts(spool: DataFrame, trusted: tuple[str, ...]) -> DataFrame:
-    """Mail of trusted senders with its labelled fields (the last of a label counts) and index number."""
+def alerts(spool: DataFrame, trusted: tuple[str, ...], require_trusted: bool = True) -> DataFrame:
+    """Mail of trusted senders (of all if not required) with its labelled fields, index number and event kind."""
     rows = _parsed(spool, _mail, "sender string, subject string, message_id string, sent string, body string")
     domain = F.lower(F.regexp_extract("sender", r"@([^>\s]+)", 1))
     safe = F.lit(False)
     for t in trusted:
         safe = safe | (domain == t) | F.endswith(domain, F.lit("." + t))
-    field = lambda name: blank_to_null(F.try_element_at(F.regexp_extract_all("body", F.lit(rf"(?im)^[ \t]*{name}[ \t]*:[ \t]*(.*)$"), F.lit(1)), F.lit(-1)))
-    fields = F.map_from_arrays(F.array(*[F.lit(n) for n in LABELS]), F.array(*[field(n) for n in LABELS]))
-    number = r"(\d{4,6}/\d{2,4})"
-    rows = rows.withColumn("is_trusted", safe).withColumn("fields", F.map_filter(fields, lambda _, v: v.isNotNull()))
-    labelled = F.try_element_at("fields", F.lit("Index Number"))
-    index = F.coalesce(*[F.nullif(F.regexp_extract(F.coalesce(x, F.lit("")), number, 1), F.lit("")) for x in (labelled, F.col("subject"), F.col("body"))])
-    return rows.withColumn("index_number", index).withColumn("natural_key", F.concat(F.coalesce("index_number", F.lit("")), F.lit(":"), F.coalesce(F.nullif("message_id", F.lit("")), F.substring("subject", 1, 80)))).where("is_trusted")
+    rows = rows.withColumn("is_trusted", safe).withColumn("fields", labelled(F.col("body")))
+    labels = [F.try_element_at("fields", F.lit(k)) for k in ("index number", "index no.", "index no")]
+    index = F.coalesce(*[index_number(x) for x in (*labels, F.col("subject"), F.col("body"))])
+    rows = rows.withColumn("event_kind", event_kind(F.concat_ws(" ", "subject", F.try_element_at("fields", F.lit("notification type")), "body")))
+    return rows.withColumn("index_number", index).withColumn("natural_key", F.concat(F.coalesce("index_number", F.lit("")), F.lit(":"), F.coalesce(F.nullif("message_id", F.lit("")), F.substring("subject", 1, 80)))).where(F.col("is_trusted") | F.lit(not require_trusted))
