@@ -142,9 +142,12 @@ def facet_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.extractions(spark, sf_dir).select("practice_area", "deal_thesis").distinct()
 
 
-@query(f"""SELECT item_uid, CASE WHEN damages_usd >= 1e6 THEN '$' || CAST(CAST(round_even(damages_usd / 1e6, 0) AS BIGINT) AS VARCHAR) || 'M' WHEN damages_usd >= 1e3 THEN '$' || CAST(CAST(round_even(damages_usd / 1e3, 0) AS BIGINT) AS VARCHAR) || 'K' END AS amount FROM ({A.EXTRACTIONS_SQL}) WHERE damages_usd IS NOT NULL AND damages_usd < 1e9""")
+@query(f"""SELECT item_uid, CASE WHEN x IS NULL THEN '' WHEN x >= 1e9 THEN '$' || replace(CAST(CAST(round_even(x / 1e9, 1) AS DECIMAL(18, 1)) AS VARCHAR) || 'B', '.0B', 'B') WHEN x >= 1e6 THEN '$' || CAST(CAST(round_even(x / 1e6, 0) AS BIGINT) AS VARCHAR) || 'M'
+  WHEN x >= 1e3 THEN '$' || CAST(CAST(round_even(x / 1e3, 0) AS BIGINT) AS VARCHAR) || 'K' ELSE '$' || CAST(CAST(round_even(x, 0) AS BIGINT) AS VARCHAR) END AS amount FROM (SELECT item_uid, damages_usd * CASE WHEN is_public THEN 31.0 ELSE 0.000003 END AS x FROM ({A.EXTRACTIONS_SQL}))""")
 def stated_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.extractions(spark, sf_dir).where("damages_usd is not null and damages_usd < 1e9").select("item_uid", T.money(F.col("damages_usd")).alias("amount"))
+    """Amounts from dollars to billions, and missing ones."""
+    amount = F.col("damages_usd") * F.when(F.col("is_public"), 31.0).otherwise(0.000003)
+    return A.extractions(spark, sf_dir).select("item_uid", T.money(amount).alias("amount"))
 
 
 # --- Text classification -------------------------------------------------------------------------
@@ -304,10 +307,13 @@ def insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.insert_ignore(o.where("o_orderstatus = 'F'"), o, ["o_orderkey"]).select("o_orderkey", "o_custkey")
 
 
-@query("SELECT user_id, arg_max(event_type, event_id) AS event_type, max(event_id) AS event_id FROM events GROUP BY 1")
+@query("""SELECT user_id, CASE WHEN n.event_id IS NULL THEN o.event_type ELSE n.event_type END AS event_type, coalesce(n.event_id, o.event_id) AS event_id
+  FROM (SELECT user_id, 'old' AS event_type, min(event_id) AS event_id FROM events WHERE event_id % 2 = 0 GROUP BY 1) o FULL JOIN (SELECT user_id, arg_max(event_type, event_id) AS event_type, max(event_id) AS event_id FROM events WHERE event_id % 5 = 1 GROUP BY 1) n USING (user_id)""")
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users known before with their newest event, or as they were; and new users."""
     e = A.read(spark, sf_dir, "events").select("user_id", "event_type", "event_id")
-    return store.upsert(e.where("event_id < 0"), e, ["user_id"], "event_id")
+    old = e.where("event_id % 2 = 0").groupBy("user_id").agg(F.lit("old").alias("event_type"), F.min("event_id").alias("event_id"))
+    return store.upsert(old, e.where("event_id % 5 = 1"), ["user_id"], "event_id")
 
 
 @query("SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_name ELSE c_mktsegment END AS name, greatest(c_acctbal, 100.0) AS hint FROM customer")
@@ -340,10 +346,14 @@ def latest_n_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return health.latest(A.health(spark, sf_dir), 10).select("source_id", "observed_at", "rows_new")
 
 
-@query(f"SELECT source_id, observed_at, 'HEALTHY' AS verdict, 'parsed ' || rows_parsed || CASE WHEN rows_new = 0 THEN ', none new' ELSE ', ' || rows_new || ' new' END AS note FROM ({A.HEALTH_SQL})")
+@query("""SELECT event_id, CASE WHEN m AND NOT b THEN 'HEALTHY' WHEN p = 0 AND e THEN 'HEALTHY' WHEN p = 0 THEN 'BROKEN' ELSE 'HEALTHY' END AS verdict,
+  CASE WHEN m AND NOT b THEN 'nothing to parse' WHEN p = 0 AND e THEN 'the server reports no rows' WHEN p = 0 AND m THEN 'no rows in a cached body' WHEN p = 0 THEN 'no rows in a new body' WHEN n = 0 THEN 'parsed ' || p || ', none new' ELSE 'parsed ' || p || ', ' || n || ' new' END AS note
+  FROM (SELECT event_id, event_id % 3 AS p, event_id % 2 AS n, event_id % 5 < 2 AS m, event_id % 7 < 4 AS b, event_id % 11 < 3 AS e FROM events)""")
 def run_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = health.verdict(F.col("rows_parsed"), F.col("rows_new"), F.lit(False), F.lit(True), F.lit(False))
-    return A.health(spark, sf_dir).withColumn("v", v).select("source_id", "observed_at", "v.verdict", "v.note")
+    """Runs of every kind: cached or new, with a body or none, empty as the server says or not."""
+    k = F.col("event_id")
+    v = health.verdict((k % 3).cast("long"), (k % 2).cast("long"), k % 5 < 2, k % 7 < 4, k % 11 < 3)
+    return A.read(spark, sf_dir, "events").withColumn("v", v).select("event_id", "v.verdict", "v.note")
 
 
 @query("SELECT user_id AS source_id, count(*) FILTER (WHERE event_type = 'error' AND event_id > coalesce(last_ok, -1)) AS consecutive_failures, count(*) AS runs FROM (SELECT *, max(CASE WHEN event_type <> 'error' THEN event_id END) OVER (PARTITION BY user_id) AS last_ok FROM events) GROUP BY 1")
@@ -370,12 +380,18 @@ def _calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.read(spark, sf_dir, "events").select(F.col("user_id").alias("key"), F.col("event_id").alias("seq"), F.unix_timestamp("ts").alias("at"), (F.col("event_type") == "error").alias("failed"))
 
 
-@query()
+_CALLS_SQL = 'SELECT user_id AS key, event_id AS seq, CAST(floor(epoch(ts)) AS DOUBLE) AS "at", event_type = \'error\' AS failed, row_number() OVER (PARTITION BY user_id ORDER BY floor(epoch(ts)), event_id) AS r FROM events'
+
+
+@query(f"""WITH RECURSIVE c AS ({_CALLS_SQL}), t AS (SELECT key, seq, "at", r, CAST(2 AS DOUBLE) AS tokens FROM c WHERE r = 1 UNION ALL
+  SELECT c.key, c.seq, c."at", c.r, least(CAST(2 AS DOUBLE), t.tokens - CASE WHEN t.tokens >= 1 THEN 1 ELSE 0 END + (c."at" - t."at") * (CAST(1 AS DOUBLE) / 86400)) FROM t JOIN c ON c.key = t.key AND c.r = t.r + 1) SELECT key, seq, "at", tokens >= 1 AS passed FROM t""")
 def token_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     return health.token_bucket(_calls(spark, sf_dir), 1 / 86400, 2.0)
 
 
-@query()
+@query(f"""WITH RECURSIVE c AS ({_CALLS_SQL}), t AS (SELECT key, seq, "at", failed, r, 'closed' AS state, failed::INT AS bad, CAST(NULL AS DOUBLE) AS opened FROM c WHERE r = 1 UNION ALL
+  SELECT key, seq, "at", failed, r, state, CASE WHEN state = 'open' THEN bad WHEN failed THEN bad + 1 ELSE 0 END, CASE WHEN state = 'open' THEN opened WHEN failed AND (state = 'half_open' OR bad + 1 >= 2) THEN "at" END
+  FROM (SELECT c.*, t.bad, t.opened, CASE WHEN t.opened IS NULL THEN 'closed' WHEN c."at" - t.opened < 86400 THEN 'open' ELSE 'half_open' END AS state FROM t JOIN c ON c.key = t.key AND c.r = t.r + 1)) SELECT key, seq, "at", failed, state FROM t""")
 def breaker_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return health.breaker(_calls(spark, sf_dir), failures=2, rest=86400.0)
 
@@ -397,7 +413,15 @@ def page_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.read(spark, sf_dir, "pages").select("page_id", F.length("html").cast("long").alias("n"), F.floor((F.length("html") - F.length(F.replace("html", F.lit("<li>"), F.lit("")))) / 4).cast("long").alias("items"))
 
 
-@query()
+_READABLE_SQL = "html"
+for _tag in ("script", "style", "nav", "header", "footer"):
+    _READABLE_SQL = f"regexp_replace({_READABLE_SQL}, '(?is)<{_tag}\\b.*?</{_tag}>', ' ', 'g')"
+_READABLE_SQL = f"regexp_replace({_READABLE_SQL}, '(?s)<[^>]+>', ' ', 'g')"
+for _entity, _char in (("&nbsp;", " "), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''")):
+    _READABLE_SQL = f"replace({_READABLE_SQL}, '{_entity}', '{_char}')"
+
+
+@query(f"SELECT page_id, trim(regexp_replace({_READABLE_SQL}, '[\\s\\x0B\\x{{85}}\\p{{Z}}]+', ' ', 'g')) AS text FROM pages")
 def html_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.read(spark, sf_dir, "pages").select("page_id", T.readable(F.col("html")).alias("text"))
 

@@ -413,6 +413,6 @@ def marked_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.mark(o, delta, ["o_orderkey"], ["o_orderstatus"])
 
 
-@query("SELECT o_orderkey FROM orders WHERE o_orderdate >= TIMESTAMP '2001-08-29 00:00:00'")
+@query("SELECT o_orderkey FROM orders WHERE o_orderdate >= TIMESTAMP '2001-07-30 00:00:00'")
 def look_back(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ingest.look_back(A.read(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").alias("published_at")), 3, "2001-09-01").select("o_orderkey")
+    return ingest.look_back(A.read(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").alias("published_at")), 3, "2001-08-02").select("o_orderkey")
