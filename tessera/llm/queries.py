@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, jaccard, langid, maxent, minhash, substring, token_files, urlfilter, warc
+from . import bpe, decontaminate, jaccard, langid, maxent, minhash, oracles, substring, token_files, urlfilter, warc
 from .common import held_out, shared_dir, table
 
 
@@ -76,4 +76,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: Only what SQL can say of whole tables.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = dict(oracles.SQL)
