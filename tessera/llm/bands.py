@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import jaccard, minhash
-from .common import checkpointed, dropped, prepare, shared_dir, slices
+from .common import checkpointed, dropped, freed, prepare, shared_dir, slices
 from .textkernel import U, mix
 
 
@@ -43,21 +43,52 @@ def described(docs: DataFrame, width: int) -> DataFrame:
                 names=["doc_id", "size", "cid", "bands", "parity"],
             )
 
-    return docs.mapInArrow(rows, f"doc_id long, size long, cid {jaccard._CLASS}, bands array<long>, parity array<long>")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.mapInArrow(rows, f"doc_id {kind}, size long, cid {jaccard._CLASS}, bands array<long>, parity array<long>")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, folder: str | None = None) -> DataFrame:
-    """Per document: doc_id, n_shingles, class_id (least doc_id of its component)."""
+def classes(docs: DataFrame, folder: str, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """(cid, best) of every class of docs (doc_id, text): the least doc_id of its component."""
     spark = docs.sparkSession
     prepare(spark)
-    folder = folder or shared_dir(spark)
     docs = docs.select("doc_id", "text")
     wide = checkpointed(described(docs, width), folder, "banded")
-    classes = checkpointed(wide.where("size > 0").groupBy("cid").agg(*[F.first(c).alias(c) for c in ("size", "bands", "parity")]), folder, "classes")
+    banded = checkpointed(wide.where("size > 0").groupBy("cid").agg(*[F.first(c).alias(c) for c in ("size", "bands", "parity")]), folder, "classes")
     told = checkpointed(wide.drop("bands", "parity"), folder, "documents")
     dropped(spark, folder, "banded")
-    index = jaccard.listed(classes, folder, "bands", num, den).withColumn("pos", F.lit(0))
-    linked = jaccard.connected(docs.select("text"), index, classes.select("cid", "size", "parity"), folder, width, num, den)
+    index = jaccard.listed(banded, folder, "bands", num, den).withColumn("pos", F.lit(0))
+    linked = jaccard.connected(docs.select("text"), index, banded.select("cid", "size", "parity"), folder, width, num, den)
     dropped(spark, folder, "classes")
     best = jaccard.by_component(told, linked, folder, F.col("doc_id"))
-    return told.join(best, "cid", "left").select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("size") == 0, F.col("doc_id")).otherwise(F.col("best")).alias("class_id"))
+    dropped(spark, folder, "documents")
+    return best
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, folder: str | None = None) -> DataFrame:
+    """Per document: doc_id, n_shingles, class_id (least doc_id of its component; its own if its set is empty)."""
+    folder = folder or shared_dir(docs.sparkSession)
+    best = classes(docs, folder, width, num, den)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            h, first = jaccard.sets(batch.column("text"), width)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(first), pa.int64()), jaccard._struct(*jaccard.class_ids(h, first))], names=["doc_id", "n_shingles", "cid"])
+
+    told = docs.select("doc_id", "text").mapInArrow(rows, f"doc_id {kind}, n_shingles long, cid {jaccard._CLASS}")
+    return with_class(told, best)
+
+
+def with_class(told: DataFrame, best: DataFrame) -> DataFrame:
+    """told (doc_id, n_shingles, cid, ...) with class_id in place of cid."""
+    joined = told.join(best, "cid", "left")
+    return joined.withColumn("class_id", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("best"))).drop("cid", "best")
+
+
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """minhash.fingerprints with n_shingles and class_id: bands of signatures joined, links verified at 0.8 of five words."""
+    spark = docs.sparkSession
+    named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    best = classes(named, shared_dir(spark), minhash.WIDTH)
+    freed(spark)
+    return with_class(minhash.fingerprints(named, classed=True), best)

@@ -63,6 +63,12 @@ def dropped(spark: SparkSession, folder: str, *names: str) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def freed(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs now; it does so once its garbage collector has seen that nothing needs them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def held_out(doc_id: Column | str, modulus: int, remainder: int) -> Column:
     """crc32 of doc_id as text mod modulus is remainder; a null doc_id counts as the text ''."""
     col = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -9,7 +9,7 @@ aligned tokens in a row (all of a shorter item) agree in SHARE of their position
 Items of fewer than SEED_TOKENS tokens must agree whole, so they are one seed of their own length;
 items of 5 and 6 tokens have the seeds of NARROW, as the others miss some of their substitutions.
 Documents get those seeds only if the benchmark has such items. Null texts and items without tokens
-hold nothing; null ids of documents are ids like others, items without an id aren't looked for. Documents of equal id and text are found together; ties of items and
+hold nothing; null ids of documents are ids like others, items without an id aren't looked for. Documents of equal id are found together, each text aligned by itself; ties of items and
 offsets give the best alignment of each item. Empty tables find nothing. The benchmark is broadcast
 below MOST_SEEDS seeds; beyond that, seeds are joined by a shuffle and documents are read again for
 the alignment.
@@ -89,8 +89,11 @@ def found(docs: DataFrame, benchmark: DataFrame, keys: list[str], text: str = "t
     wanted = _item_seeds(items)
     per_mask = {r["mask"]: r["count"] for r in wanted.groupBy("mask").count().collect()}
     small, masks = sum(per_mask.values()) <= most_seeds, sorted(per_mask) or [0]
-    hashed = docs.select(*[F.col(k).alias(f"key_{i}") for i, k in enumerate(keys)], _once(tokens(text)).alias("dt"))
-    names = [f"key_{i}" for i in range(len(keys))]
+    # The text is part of a row's key, so that rows of one id and different texts are aligned each by itself.
+    keyed = [*[F.col(k).alias(f"key_{i}") for i, k in enumerate(keys)], F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("key_text")]
+    hashed = docs.select(*keyed, _once(tokens(text)).alias("dt"))
+    shown = [f"key_{i}" for i in range(len(keys))]
+    names = [*shown, "key_text"]
     # A column of its own, so that explode and join are one compiled stage and dt is copied for hits only.
     each = hashed.withColumn("seeds", F.concat(*seeds("dt", masks))).select(*names, "dt", F.size("dt").alias("n"), F.posexplode_outer("seeds").alias("at", "seed"))
     joined = each.join(F.broadcast(wanted), "seed") if small else each.drop("dt").join(wanted, "seed")
@@ -114,8 +117,8 @@ def found(docs: DataFrame, benchmark: DataFrame, keys: list[str], text: str = "t
     sums = F.transform(F.sequence(F.lit(1), F.size("same") - F.col("wide") + 1), lambda i: F.aggregate(F.slice("same", i, F.col("wide")), F.lit(0), lambda s, x: s + x))
     judged = laid.select(*names, "item_id", "n_item_tokens", "wide", _once(F.array_max(sums)).alias("n_agreeing"))
     judged = judged.where(F.col("n_agreeing") * SHARE[1] >= F.col("wide") * SHARE[0])
-    out = judged.groupBy(*names, "item_id").agg(F.max("n_item_tokens").alias("n_item_tokens"), F.max("n_agreeing").alias("n_agreeing"))
-    return out.select(*[F.col(n).alias(k) for n, k in zip(names, keys, strict=True)], "item_id", "n_item_tokens", "n_agreeing")
+    out = judged.groupBy(*shown, "item_id").agg(F.max("n_item_tokens").alias("n_item_tokens"), F.max("n_agreeing").alias("n_agreeing"))
+    return out.select(*[F.col(n).alias(k) for n, k in zip(shown, keys, strict=True)], "item_id", "n_item_tokens", "n_agreeing")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -109,8 +109,9 @@ def gather(training: DataFrame, folder: str) -> tuple[DataFrame, Counts]:
     """All words' counts as a table, and what is broadcast of them."""
     vocabulary = checkpointed(tally(training).groupBy("h").agg(F.max("f").alias("f"), F.sum("n").alias("n")), folder, "vocabulary")
     documents = training.count()
-    spread = vocabulary.groupBy("n").count().orderBy(F.desc("n")).toPandas()  # at most sqrt(2 * tokens) counts
-    room = spread["count"].cumsum() <= HOT
+    step = F.when(F.col("n") < 64, F.col("n")).otherwise(F.floor(F.log2("n") * 16) - 32)  # counts in steps of a few per cent: some hundred rows
+    spread = vocabulary.groupBy(step.alias("step")).agg(F.count("*").alias("words"), F.min("n").alias("n")).orderBy(F.desc("n")).toPandas()
+    room = spread["words"].cumsum() <= HOT
     least = int(spread["n"][room].min()) if room.any() else (int(spread["n"].max()) + 1 if len(spread) else 1)
     hot = vocabulary.where(F.col("n") >= least).toPandas()
     h, n, f = hot["h"].to_numpy(np.int64).view(np.uint64), hot["n"].to_numpy(np.int64), hot["f"].to_numpy(np.int64)

@@ -78,6 +78,14 @@ def sign(texts: pa.Array, width: int = WIDTH) -> np.ndarray:
     return signatures(*shingles(words(texts, lower=True), width))
 
 
+def classes_of(texts: pa.Array) -> list[pa.Array]:
+    """Size and class of each text's set."""
+    from . import jaccard  # which takes its shingles from here
+
+    h, first = jaccard.sets(texts, WIDTH)
+    return [pa.array(np.diff(first), pa.int64()), jaccard._struct(*jaccard.class_ids(h, first))]
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Estimated Jaccard of signatures of equal rank, from 8 bits of each value."""
     same = ((a ^ b) & np.uint32(0xFF) == 0).mean(axis=1)
@@ -112,8 +120,8 @@ def _part(bounds: list[int], doc_id: Column, low: int = 0) -> Column:
     return F.when(doc_id <= F.lit(bounds[mid]), _part(bounds[mid + 1 :], doc_id, low + mid + 1)).otherwise(_part(bounds[:mid], doc_id, low))
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", classed: bool = False) -> DataFrame:
+    """Per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next; n_shingles and cid of its set if classed.
 
     Rows are dealt by ranges of doc_id whose bounds are ids of the table; the document at each bound
     also goes to the range before it, as the next of that range's last.
@@ -131,6 +139,8 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     guests = docs.where(F.col("doc_id").isin(bounds)).withColumns({"part": F.pmod(_part(bounds, F.col("doc_id")) - 1, F.lit(n)).cast("int"), "guest": F.lit(1)}) if bounds else own.limit(0)
     dealt = own.unionByName(guests).repartitionById(max(n, parts), "part").sortWithinPartitions("part", "guest", F.desc_nulls_last("doc_id"), "text")
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    if classed:
+        schema += ", n_shingles long, cid struct<x:long,y:long>"
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = opening = None
@@ -151,6 +161,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         texts, chars = edited(data, offsets[:-1], data[offsets[1] :] if n else data, offsets[1:] - offsets[1])
         other = sign(texts)
         hosts = pa.compute.equal(batch.column("guest"), 0).slice(0, n)
+        more = classes_of(col.slice(0, n)) if classed else []
         out = pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id").slice(0, n),
@@ -160,8 +171,9 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
                 pa.array(shown(other), pa.string()),
                 pa.array(likeness(own[:-1], other)),
                 pa.array(likeness(own[:-1], own[1:])),
+                *more,
             ],
-            names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
+            names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", *(["n_shingles", "cid"] if classed else [])],
         )
         return out.filter(hosts)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, jaccard, langid, maxent, minhash, oracles, substring, token_files, urlfilter, warc
+from . import bands, bpe, decontaminate, jaccard, langid, maxent, oracles, substring, token_files, urlfilter, warc
 from .common import held_out, shared_dir, table
 
 
@@ -59,7 +59,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.fingerprints(table(spark, sf_dir, "documents"))
+    return bands.fingerprints(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -114,9 +114,10 @@ class Index:
                     yield place, rule
 
 
-def rank(place: int, rule: Rule) -> tuple:
-    """Greater wins."""
-    return (rule.length > 0, rule.length, rule.verdict == "block", -place)
+def rank(found: tuple[int, int, str, str]) -> tuple:
+    """Greater wins: place, length, name and verdict of a rule that fits."""
+    place, length, _, verdict = found
+    return (length > 0, length, verdict == "block", -place)
 
 
 def judge(pages: DataFrame, keep: list[str], rules: Sequence[Rule] = (*DOMAINS, *PATTERNS), url: str = "url") -> DataFrame:
@@ -130,31 +131,32 @@ def judge(pages: DataFrame, keep: list[str], rules: Sequence[Rule] = (*DOMAINS,
         found = pages.select(F.explode(F.array_distinct(F.split(F.lower(url), "[^a-z0-9]+"))).alias("token")).groupBy("token").count().join(F.broadcast(block), "token", "left_semi")
         counts |= {r["token"]: r["count"] for r in found.collect()}
     numbered = list(enumerate(rules))
-    out = pages.select(*keep, F.col(url).alias("__url"), F.lit(-1).alias("__place"))
+    won = "__place int, __length int, __name string, __verdict string"
+    out = pages.select(*keep, F.col(url).alias("__url"), *[F.lit(None).cast(x.split()[1]).alias(x.split()[0]) for x in won.split(", ")])
+    width = len(out.columns)
     for i in range(0, max(1, len(numbered)), BLOCK_RULES):
         index = spark.sparkContext.broadcast(Index.build(numbered[i : i + BLOCK_RULES], counts))
-        known = spark.sparkContext.broadcast(list(rules)) if i else None
 
-        def better(batches: Iterator[pa.RecordBatch], index=index, known=known) -> Iterator[pa.RecordBatch]:
+        def better(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                places = batch.column("__place").to_pylist()
-                for row, (text, old) in enumerate(zip(batch.column("__url").to_pylist(), places, strict=True)):
-                    found = [(p, r) for p, r in index.value.matches(*split(text))] if text else []
-                    if old >= 0:
-                        found.append((old, known.value[old]))
+                told = list(zip(*(batch.column(k).to_pylist() for k in range(width - 4, width)), strict=True))
+                for row, text in enumerate(batch.column("__url").to_pylist()):
+                    found = [(p, r.length, r.name, r.verdict) for p, r in index.value.matches(*split(text))] if text else []
+                    if told[row][0] is not None:
+                        found.append(told[row])
                     if found:
-                        places[row] = max(found, key=lambda x: rank(*x))[0]
-                yield batch.set_column(batch.num_columns - 1, "__place", pa.array(places, pa.int32()))
+                        told[row] = max(found, key=rank)
+                columns = zip(*told, strict=True) if told else [[]] * 4
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-4], *(pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.int32(), pa.string(), pa.string()), strict=True))], names=batch.schema.names)
 
         out = out.mapInArrow(better, out.schema)
-    schema = out.drop("__url", "__place").withColumns({k: F.lit(None).cast("string") for k in ("host", "path", "rule", "verdict", "pattern")}).schema
-    names = spark.sparkContext.broadcast([(r.name, r.verdict, r.length > 0) for r in rules])
+    schema = pages.select(*keep).withColumns({k: F.lit(None).cast("string") for k in ("host", "path", "rule", "verdict", "pattern")}).schema
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = [split(x) for x in batch.column("__url").to_pylist()]
-            won = [names.value[p] if p >= 0 else (None, "allow", True) for p in batch.column("__place").to_pylist()]
-            more = [[h for h, _ in parts], [p for _, p in parts], [n if d else None for n, _, d in won], [v for _, v, _ in won], [None if d else n for n, _, d in won]]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *(pa.array(x, pa.string()) for x in more)], names=schema.names)
+            told = list(zip(*(batch.column(k).to_pylist() for k in range(width - 3, width)), strict=True))
+            more = [[h for h, _ in parts], [p for _, p in parts], [n if length else None for length, n, _ in told], [v or "allow" for _, _, v in told], [n if length == 0 else None for length, n, _ in told]]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: width - 5], *(pa.array(x, pa.string()) for x in more)], names=schema.names)
 
     return out.mapInArrow(named, schema)
