@@ -8,10 +8,11 @@ import math
 import re
 import zlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import bands, bpe, decontaminate, jaccard, langid, maxent, minhash, substring
+from tessera.llm import bands, bpe, decontaminate, jaccard, langid, maxent, minhash, substring, textkernel
 from tessera.llm.common import held_out
 
 from . import data
@@ -294,3 +295,46 @@ def test_likeness_estimates_jaccard():
     s = minhash.sign(pa.array([a, b]))
     assert abs(minhash.likeness(s[:1], s[1:])[0] - len(x & y) / len(x | y)) < 0.15
     assert (minhash.sign(pa.array([a, a]))[0] == s[0]).all() and np.array_equal(minhash.sign(pa.array(["", None]))[0], minhash.sign(pa.array([""]))[0])
+
+
+def test_lm_score_is_that_of_a_plain_softmax(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(maxent, "HOT", 40)
+    docs = data.frame(spark).select("doc_id", "text").withColumn("training", F.coalesce(F.col("doc_id") % 3 != 0, F.lit(True)))
+    learned = docs.where("training")
+    _, known = maxent.gather(learned, f"file://{tmp_path}/counts")
+    weights, cell_weights, bias, cell_bias = model = maxent.train(learned, known)
+    monkeypatch.setattr(maxent, "train", lambda *_: model)
+    got = {(key(r["doc_id"]), r["n_tokens"], round(r["base_score"], 6)): r["score"] for r in maxent.score(docs, folder=f"file://{tmp_path}/scored").collect()}
+
+    plain = lambda t: data.words(data.lowered(t))
+    counts = collections.Counter(x for r in learned.collect() for x in plain(r["text"]))
+    cells = {}
+    cell_of = lambda x, i: (int(x.classes[i]), int(x.cells[list(x.of).index(i)]) if i in set(x.of.tolist()) else -1)
+    for word in counts:
+        w = textkernel.words(pa.array([word]), lower=True)
+        at = cell_of(maxent.features(w, w.hashes(), known), 0)
+        held = cells.setdefault(at, [0, 0])
+        held[0], held[1] = held[0] + counts[word], held[1] + 1
+    cells[maxent.HEADS, -1] = [learned.count(), 1]
+    n, v = sum(c[0] for c in cells.values()), sum(c[1] for c in cells.values())
+    assert max(len([c for c in cells if c[0] == k]) for k in range(maxent.CLASSES)) > 5
+
+    def share(w, b, rows, told):
+        e = [math.exp(sum(float(w[r, k]) for r in rows) + float(b[k])) for k in range(len(b))]
+        return e[told] / sum(e)
+
+    for r in docs.collect()[::4]:
+        w = textkernel.words(pa.array([r["text"]], pa.string()), lower=True)
+        x = maxent.features(w, w.hashes(), known)
+        score = base = 0.0
+        for i, word in enumerate([*plain(r["text"]), None]):
+            c, cell = cell_of(x, i)
+            score += math.log10(share(weights, bias, x.rows[i], c))
+            if cell >= 0:
+                j = list(x.of).index(i)
+                score += math.log10(share(cell_weights, cell_bias[c - maxent.HEADS - 1], x.cell_rows[j], cell))
+            seen = learned.count() if word is None else counts[word]
+            tokens, distinct = cells.get((c, cell), (0, 0))
+            score += math.log10((seen + 1) / (tokens + distinct + 1))
+            base += math.log10((seen + 1) / (n + v + 1))
+        assert got[key(r["doc_id"]), len(plain(r["text"])) + 1, round(base, 6)] == pytest.approx(score, abs=1e-3 * (1 + len(x.classes) / 50))
