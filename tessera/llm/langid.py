@@ -73,8 +73,8 @@ class Model:
     chance: np.ndarray
     usual: int
 
-    def scores(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Best language's index and its score, per text."""
+    def scores(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Per text: best language's index and its score, the text's n-grams, and the share of them that the best language holds."""
         data, offsets = raw_bytes(texts)
         g, first = grams(data, offsets)
         k, total = len(self.languages), np.diff(first)
@@ -94,7 +94,7 @@ class Model:
         sums = true.sum(axis=1)
         best[sums <= 0] = self.usual
         top = true[np.arange(len(texts)), best] if k else np.zeros(len(texts))
-        return best, np.where(sums > 0, top / np.maximum(sums, 1e-9), 0.0)
+        return best, np.where(sums > 0, top / np.maximum(sums, 1e-9), 0.0), total, top / np.maximum(total, 1)
 
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", sample: int = SAMPLE) -> Model:
@@ -135,21 +135,27 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str
     return Model(languages, masks, fill**HASHES, max(range(len(languages)), key=lambda i: (sizes[languages[i]], -i)))
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text", lang_pred: str = "lang_pred", score: str = "score") -> DataFrame:
-    """docs with lang_pred and score; clashing columns are replaced. The model is of a fixed size and is broadcast."""
+def predict(docs: DataFrame, model: Model, text: str = "text", lang_pred: str = "lang_pred", score: str = "score", evidence: tuple[str, str] | None = None) -> DataFrame:
+    """docs with lang_pred and score; clashing columns are replaced. The model is of a fixed size and is broadcast.
+
+    evidence names two more columns: the text's number of n-grams, and the share of them that the
+    predicted language holds. The score compares languages, the share doesn't depend on how many there are.
+    """
     spark = docs.sparkSession
     prepare(spark)
-    docs = docs.drop(lang_pred, score)
-    schema = docs.select("*", F.lit(None).cast("string").alias(lang_pred), F.lit(None).cast("double").alias(score)).schema
+    more = {lang_pred: "string", score: "double", **(dict(zip(evidence, ("long", "double"), strict=True)) if evidence else {})}
+    docs = docs.drop(*more)
+    schema = docs.select("*", *[F.lit(None).cast(v).alias(k) for k, v in more.items()]).schema
     shared = spark.sparkContext.broadcast(model)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*shared.value.languages, UND], dtype=object)
         for batch in slices(batches, text):
             col = batch.column(text)
-            best, scores = shared.value.scores(col)
+            best, scores, grams_, known = shared.value.scores(col)
             lettered = pa.compute.match_substring_regex(col, r"\p{L}").fill_null(False).to_numpy(zero_copy_only=False) & bool(shared.value.languages)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names[np.where(lettered, best, len(names) - 1)], pa.string()), pa.array(np.where(lettered, scores, 0.0))], names=[*batch.schema.names, lang_pred, score])
+            told = [pa.array(names[np.where(lettered, best, len(names) - 1)], pa.string()), pa.array(np.where(lettered, scores, 0.0)), pa.array(grams_, pa.int64()), pa.array(np.where(lettered, known, 0.0))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *told[: len(more)]], names=schema.names)
 
     return docs.mapInArrow(rows, schema)
 

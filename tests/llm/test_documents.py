@@ -230,6 +230,24 @@ def test_language_id(spark):
     assert langid.predict(data.frame(spark, []), model).count() == 0
 
 
+def test_language_scores_are_near_those_of_exact_counts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("lang is not null").select("doc_id", "text", "lang")
+    rows, model = docs.collect(), langid.fit(docs)
+    fold = lambda t: re.sub(rb" +", b" ", bytes(b | 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in (t or "").encode()))
+    grams = lambda t: [x[i : i + 4] for x in [fold(t)] for i in range(len(x) - 3)]
+    seen = {k: collections.Counter(g for r in rows if r["lang"] == k for g in grams(r["text"])) for k in model.languages}
+    rates = {k: {g: n / sum(x for x in c.values() if x >= langid.MIN_COUNT) for g, n in c.items() if n >= langid.MIN_COUNT} for k, c in seen.items()}
+    held = {k: {g for g, x in c.items() if x >= langid.MIN_SHARE * max(o.get(g, 0) for o in rates.values())} for k, c in rates.items()}
+    for r in langid.predict(docs, model, evidence=("grams", "known")).collect():
+        g = grams(r["text"])
+        hits = {k: sum(x in held[k] for x in g) for k in model.languages}
+        top, total = max(hits.values()), sum(hits.values())
+        assert r["grams"] == len(g)
+        if r["lang_pred"] != "und" and total > 50:
+            assert hits[r["lang_pred"]] >= top - 0.01 * len(g)
+            assert r["score"] == pytest.approx(top / total, abs=0.02) and r["known"] == pytest.approx(top / len(g), abs=0.02)
+
+
 def test_filters_hold_every_ngram_and_few_others(spark):
     many = spark.createDataFrame([(i, "".join(chr(97 + (i * 7 + j * j) % 26) for j in range(40)), f"l{i % 11}") for i in range(200)], "doc_id long, text string, lang string")
     model = langid.fit(many)  # more languages than bits of one word
