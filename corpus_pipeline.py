@@ -1,4 +1,11 @@
-"""The corpus pipeline: five stages over documents, each written before the next reads it."""
+"""The corpus pipeline: five stages over documents, each written before the next reads it.
+
+Null and empty texts have no letters, so language ID rejects them. Null ids are ids like others: of near
+duplicates the least id stays and null is the last; of rows equal in id and text one stays. Very long
+texts are worked on whole. Empty tables of documents or benchmark items are fine: without labelled rows
+no language is known and every document is rejected. All stages but the last keep the columns of
+documents, whatever they are named, and their order.
+"""
 
 from __future__ import annotations
 
@@ -9,17 +16,18 @@ from tessera.llm import bpe, decontaminate, jaccard, langid, substring
 from tessera.llm.common import checkpointed, held_out, shared_dir, table
 from tessera.llm.queries import vocabulary
 
-#: A document is rejected if no language has this share of its n-grams' votes, or it has no letters.
-LEAST_SCORE = 0.3
+#: A document is rejected if it has no letters, or if it has so many n-grams and no language holds this share of them.
+ENOUGH_GRAMS, LEAST_KNOWN = 20, 0.25
 #: Near-duplicates: runs of five words, Jaccard 0.8 or more.
 WIDTH, SIMILARITY = 5, (80, 100)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents whose language is told with LEAST_SCORE at least."""
+    """Keeps the documents in a language that the labelled ones show; texts too short to judge stay."""
     model = langid.fit(docs.where(~held_out("doc_id", 5, 0)))
-    told = langid.predict(docs, model, lang_pred="__lang", score="__score")
-    return told.where((F.col("__lang") != langid.UND) & (F.col("__score") >= LEAST_SCORE)).drop("__lang", "__score")
+    told = langid.predict(docs, model, lang_pred="__lang", score="__score", evidence=("__grams", "__known"))
+    foreign = (F.col("__grams") >= ENOUGH_GRAMS) & (F.col("__known") < LEAST_KNOWN)
+    return told.where((F.col("__lang") != langid.UND) & ~foreign).drop("__lang", "__score", "__grams", "__known")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
