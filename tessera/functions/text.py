@@ -98,9 +98,20 @@ def url_host(col: Column) -> Column:
     return F.lower(F.regexp_extract(col, "://([^/?#]*)", 1))
 
 
+def title_case(col: Column) -> Column:
+    """Every run of letters with its first one upper and the others lower, also after digits and signs."""
+    return F.array_join(F.transform(F.regexp_extract_all(col, F.lit(r"\p{L}+|[^\p{L}]+"), F.lit(0)), lambda x: F.concat(F.upper(F.substring(x, 1, 1)), F.lower(F.substr(x, F.lit(2))))), "")
+
+
+def query_value(url: Column, name: str) -> Column:
+    """A parameter of a url's query, decoded; empty if there is none, as it stands if it can't be decoded."""
+    raw = F.regexp_extract(F.coalesce(url, F.lit("")), rf"^[^#]*?[?&]{name}=([^&#]*)", 1)
+    return F.coalesce(F.try_url_decode(raw), raw)
+
+
 def slug_title(col: Column) -> Column:
     """Last path segment with spaces for dashes; empty if it is a number or shorter than three characters."""
     path = F.regexp_replace(F.regexp_replace(col, "^[^:]*://[^/?#]*", ""), "[?#].*$", "")
     last = F.coalesce(F.try_element_at(F.filter(F.split(path, "/"), lambda x: x != ""), F.lit(-1)), F.lit(""))
     words = F.replace(last, F.lit("-"), F.lit(" "))
-    return F.when(words.rlike("^[0-9]+$") | (F.length(words) < 3), "").otherwise(F.initcap(words))
+    return F.when(words.rlike("^[0-9]+$") | (F.length(words) < 3), "").otherwise(title_case(words))

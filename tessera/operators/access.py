@@ -5,7 +5,7 @@ Limits are the reads' own. Sorted reads have `place`, which starts at 1; ties go
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -127,6 +127,40 @@ def get_watermark(marks: DataFrame, source_id: str, task_key: str) -> DataFrame:
     return marks.where((F.col("source_id") == source_id) & (F.col("task_key") == task_key)).select("value", seen.alias("seen_keys"))
 
 
+def funnel(items: DataFrame, screened: DataFrame, extracted: DataFrame, prospects: DataFrame) -> DataFrame:
+    """One row of counts along the funnel. screened: item_uid, verdict; extracted: item_uid, is_excluded; prospects: item_uid."""
+    marks = screened.select("item_uid", "verdict").join(extracted.select("item_uid", F.coalesce("is_excluded", F.lit(False)).alias("gone")), "item_uid", "full").join(prospects.select("item_uid", F.lit(True).alias("ranked")), "item_uid", "full")
+    rows = items.select("item_uid", F.lit(True).alias("item")).join(marks, "item_uid", "full")
+    n = lambda c: F.count_if(c)
+    return rows.agg(
+        n(F.col("item")).alias("items"), n(F.col("verdict").isNotNull()).alias("screened_out"), n(F.col("verdict") == "excluded").alias("excluded"), n(F.col("verdict") == "no_signal").alias("no_signal"),
+        n(F.col("gone").isNotNull()).alias("extracted"), n(F.col("gone")).alias("extraction_excluded"), n(F.col("ranked")).alias("ranked"), n(F.col("item") & F.col("gone").isNull() & F.col("verdict").isNull()).alias("awaiting"),
+    )
+
+
+#: Columns that a view is filtered by, and those whose text is searched; what a view lacks is left out.
+FACETS = ("deal_thesis", "event_type", "practice_area", "stage", "court_group", "band", "source_id", "venue", "is_public")
+FIELDS = ("case_caption", "title", "summary", "description", "court", "venue", "jurisdiction", "stage", "deal_thesis", "event_type", "practice_area", "source_id", "docket_number", "counsel", "collectability_note")
+
+
+def faceted(rows: DataFrame, chosen: Mapping[str, Sequence], text: str = "") -> DataFrame:
+    """Rows with one of the chosen values in every facet, and all words of a text somewhere in their fields."""
+    for name, values in chosen.items():
+        if name not in FACETS:
+            raise KeyError(f"{name} is no facet; there are {', '.join(FACETS)}")
+        if values:
+            rows = rows.where(F.col(name).isin(*values))
+    blob = F.lower(F.concat_ws(" ", *[F.col(c).cast("string") for c in FIELDS if c in rows.columns]))
+    for word in text.lower().split():
+        rows = rows.where(F.contains(blob, F.lit(word)))
+    return rows
+
+
+def facet_counts(rows: DataFrame, chosen: Mapping[str, Sequence], text: str, facet: str) -> DataFrame:
+    """Rows for each value of a facet under all other choices."""
+    return faceted(rows, {k: v for k, v in chosen.items() if k != facet}, text).groupBy(F.col(facet).alias("value")).agg(F.count("*").alias("n"))
+
+
 # --- Roll-ups and display ------------------------------------------------------------------------
 def roll_up(outcomes: DataFrame) -> DataFrame:
     """Per run of outcomes (run_id, verdict, rows_new, is_partial): what is new, failed and partial, and whether all went well."""

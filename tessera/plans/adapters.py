@@ -52,7 +52,7 @@ def extractions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_totalprice") * 1000).alias("damages_usd"), F.lit("medium").alias("damages_conf"),
         F.col("o_orderdate").alias("event_date"), F.col("o_orderdate").alias("published_at"), (F.col("c_acctbal") > 5000).alias("is_public"),
         F.when(F.col("o_orderkey") % 5 == 0, "insolvent debtor").when(F.col("o_orderkey") % 5 == 1, "bond posted").alias("collectability_note"),
-        F.col("n_name").alias("venue"), F.lit("").alias("court"), F.lit("").alias("jurisdiction"), F.expr(_sql_map("c_mktsegment", AREAS)).alias("practice_area"), F.lit("high").alias("practice_conf"),
+        F.when(F.col("o_orderkey") % 6 == 0, F.concat(F.lit("Court of Chancery, Delaware, "), "n_name")).when(F.col("o_orderkey") % 6 == 1, F.concat(F.lit("Southern District of New York, "), "n_name")).otherwise(F.col("n_name")).alias("venue"), F.lit("").alias("court"), F.lit("").alias("jurisdiction"), F.expr(_sql_map("c_mktsegment", AREAS)).alias("practice_area"), F.lit("high").alias("practice_conf"),
         F.lit(0.8).alias("source_confidence"), (F.col("o_orderpriority") != "5-LOW").alias("has_stated_damages"),
     )
 
@@ -74,6 +74,7 @@ EXTRACTIONS_SQL = (
     f"{_sql_map('o_orderstatus', THESES)} AS deal_thesis, {_sql_map('o_orderpriority', EVENTS)} AS event_type, "
     "CASE WHEN o_orderpriority <> '5-LOW' THEN o_totalprice * 1000 END AS damages_usd, o_orderdate AS event_date, c_acctbal > 5000 AS is_public, "
     "CASE WHEN o_orderkey % 5 = 0 THEN 'insolvent debtor' WHEN o_orderkey % 5 = 1 THEN 'bond posted' END AS collectability_note, "
-    f"n_name AS venue, {_sql_map('c_mktsegment', AREAS)} AS practice_area, o_orderpriority <> '5-LOW' AS has_stated_damages FROM {PARTIES_SQL}"
+    "CASE o_orderkey % 6 WHEN 0 THEN 'Court of Chancery, Delaware, ' || n_name WHEN 1 THEN 'Southern District of New York, ' || n_name ELSE n_name END AS venue, "
+    f"{_sql_map('c_mktsegment', AREAS)} AS practice_area, o_orderpriority <> '5-LOW' AS has_stated_damages FROM {PARTIES_SQL}"
 )
 HEALTH_SQL = "SELECT event_type AS source_id, date_trunc('hour', ts) AS observed_at, count(*) AS rows_parsed, count(*) FILTER (WHERE value > 100) AS rows_new, min(event_id) AS run_id FROM events GROUP BY 1, 2"

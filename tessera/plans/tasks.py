@@ -40,11 +40,15 @@ def normal_text(name: str) -> str:
     return re.sub("[^a-z0-9]+", " ", name.lower().replace("&", " and ")).strip()
 
 
-def day_query_form(spark: SparkSession, as_of: str, days: int, queries: list[str], forms: list[str]) -> DataFrame:
-    """A task for each day, form and query, and one anchor that must always find something."""
+def day_query_form(spark: SparkSession, as_of: str, days: int, queries: Sequence[str], forms: Sequence[str] = (), anchor: bool = True) -> DataFrame:
+    """A task for each day, form (if any are given) and query, and one anchor that must always find something."""
     day = F.explode(F.sequence(F.date_sub(F.lit(as_of).cast("date"), days - 1), F.lit(as_of).cast("date"))).alias("day")
-    rows = spark.range(1).select(day).select("day", F.explode(F.array(*[F.lit(f) for f in forms])).alias("form")).select("day", "form", F.explode(F.array(*[F.lit(q) for q in queries])).alias("q"))
-    return rows.select(F.concat_ws(":", F.date_format("day", "yyyy-MM-dd"), "form", "q").alias("task_key")).unionByName(spark.range(1).select(F.lit("anchor").alias("task_key")))
+    rows, parts = spark.range(1).select(day).withColumn("day", F.date_format("day", "yyyy-MM-dd")), ["day"]
+    for name, values in (("form", forms), ("q", queries)):
+        if values:
+            rows, parts = rows.withColumn(name, F.explode(F.array(*[F.lit(v) for v in values]))), [*parts, name]
+    keyed = rows.select(F.concat_ws(":", *parts).alias("task_key"))
+    return keyed.unionByName(spark.range(1).select(F.lit("anchor").alias("task_key"))) if anchor else keyed
 
 
 def business_days(spark: SparkSession, as_of: str, days: int) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .functions import classify, lexicon as L
 from .functions import text as T
-from .operators import cluster, health, scoring, store
+from .operators import access, cluster, health, scoring, store
 from .plans import adapters as A
 from .plans import tasks
 
@@ -52,7 +52,7 @@ _PARTS_SQL = {
     "damages": f"CASE WHEN damages_usd > 0 THEN {_norm('damages_usd')} * 0.75 ELSE {_norm('(' + _case('deal_thesis', L.THESIS_PRIORS, 5e6) + ')')} * 0.45 END",
     "recency": f"pow(0.5, greatest(0.0, (epoch(TIMESTAMP '{A.AS_OF}') - floor(epoch(event_date))) / 86400.0) / 30)",
     "collectability": "CASE WHEN collectability_note LIKE '%bond%' THEN greatest(CASE WHEN is_public THEN 0.9 ELSE 0.5 END, 0.8) WHEN collectability_note LIKE '%insolven%' THEN 0.25 WHEN is_public THEN 0.9 ELSE 0.5 END",
-    "venue": "0.5",
+    "venue": "CASE " + " ".join(f"WHEN contains(lower(venue), '{n}') THEN {float(q)}" for n, q in sorted(L.VENUE_QUALITY.items(), key=lambda x: -x[1]) if q > 0.5) + " ELSE 0.5 END",
     "practice_fit": _case("practice_area", L.PRACTICE_FIT, 0.25),
     "source_confidence": "0.8",
 }
@@ -131,10 +131,17 @@ def band_facets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bands.join(counts, "band", "left").select("band", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
 
 
-@query(f"SELECT item_uid, title, deal_thesis, practice_area FROM ({A.EXTRACTIONS_SQL}) WHERE deal_thesis = 'antitrust_followon' AND practice_area = 'commercial' AND contains(lower(concat_ws(' ', title, venue, event_type, deal_thesis)), 'nation_1')")
+@query(f"SELECT item_uid, title, deal_thesis, practice_area FROM ({A.EXTRACTIONS_SQL}) WHERE deal_thesis IN ('antitrust_followon', 'post_settlement') AND practice_area = 'commercial' AND is_public AND event_type <> 'case_filed' AND contains(lower(concat_ws(' ', case_caption, title, venue, deal_thesis, event_type, practice_area, source_id, collectability_note)), 'nation_1') AND contains(lower(concat_ws(' ', case_caption, title, venue, deal_thesis, event_type, practice_area, source_id, collectability_note)), 'acme')")
 def faceted_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blob = F.lower(F.concat_ws(" ", "title", "venue", "event_type", "deal_thesis"))
-    return A.extractions(spark, sf_dir).where((F.col("deal_thesis") == "antitrust_followon") & (F.col("practice_area") == "commercial") & F.contains(blob, F.lit("nation_1"))).select("item_uid", "title", "deal_thesis", "practice_area")
+    """Rows under four facets that hold two words."""
+    chosen = {"deal_thesis": ["antitrust_followon", "post_settlement"], "practice_area": ["commercial"], "is_public": [True], "event_type": [e for e in A.EVENTS.values() if e != "case_filed"]}
+    return access.faceted(A.extractions(spark, sf_dir), chosen, "ACME nation_1").select("item_uid", "title", "deal_thesis", "practice_area")
+
+
+@query(f"SELECT practice_area AS value, count(*) AS n FROM ({A.EXTRACTIONS_SQL}) WHERE deal_thesis = 'post_settlement' AND is_public GROUP BY 1")
+def facet_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of one facet under the choices of the others."""
+    return access.facet_counts(A.extractions(spark, sf_dir), {"deal_thesis": ["post_settlement"], "practice_area": ["commercial"], "is_public": [True]}, "", "practice_area")
 
 
 @query(f"SELECT DISTINCT practice_area, deal_thesis FROM ({A.EXTRACTIONS_SQL})")
@@ -245,13 +252,18 @@ def items_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.read(spark, sf_dir, "documents").groupBy(F.col("source").alias("source_id")).agg(F.count("*").alias("n"), F.max("doc_id").alias("newest"))
 
 
-@query("SELECT (SELECT count(*) FROM documents) AS items, (SELECT count(*) FROM labels) AS extracted, (SELECT count(*) FROM labels WHERE toxic = 1) AS excluded, (SELECT count(*) FROM labels WHERE toxic = 0 AND quality = 1) AS ranked, (SELECT count(*) FROM documents ANTI JOIN labels USING (doc_id)) AS awaiting")
+_SCREENED_SQL = "SELECT doc_id, CASE doc_id % 10 WHEN 3 THEN 'excluded' ELSE 'no_signal' END AS verdict FROM documents WHERE doc_id % 10 IN (3, 7)"
+
+
+@query(f"""SELECT (SELECT count(*) FROM documents) AS items, (SELECT count(*) FROM ({_SCREENED_SQL})) AS screened_out, (SELECT count(*) FROM ({_SCREENED_SQL}) WHERE verdict = 'excluded') AS excluded, (SELECT count(*) FROM ({_SCREENED_SQL}) WHERE verdict = 'no_signal') AS no_signal,
+  (SELECT count(*) FROM labels) AS extracted, (SELECT count(*) FROM labels WHERE toxic = 1) AS extraction_excluded, (SELECT count(*) FROM labels WHERE quality = 1) AS ranked,
+  (SELECT count(*) FROM documents LEFT JOIN labels l USING (doc_id) LEFT JOIN ({_SCREENED_SQL}) s USING (doc_id) WHERE l.doc_id IS NULL AND s.doc_id IS NULL) AS awaiting""")
 def pipeline_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row of counts along the funnel, each item seen once."""
-    marks = A.read(spark, sf_dir, "labels").select("doc_id", "toxic", "quality").withColumn("labelled", F.lit(True))
-    rows = A.read(spark, sf_dir, "documents").select("doc_id").withColumn("item", F.lit(True)).join(marks, "doc_id", "full")
-    count = lambda c: F.count_if(c)
-    return rows.agg(count(F.col("item")).alias("items"), count(F.col("labelled")).alias("extracted"), count(F.col("toxic") == 1).alias("excluded"), count((F.col("toxic") == 0) & (F.col("quality") == 1)).alias("ranked"), count(F.col("item") & F.col("labelled").isNull()).alias("awaiting"))
+    items = A.read(spark, sf_dir, "documents").select(F.col("doc_id").alias("item_uid"))
+    labels = A.read(spark, sf_dir, "labels").select(F.col("doc_id").alias("item_uid"), (F.col("toxic") == 1).alias("is_excluded"), "quality")
+    screened = items.where("item_uid % 10 in (3, 7)").withColumn("verdict", F.when(F.col("item_uid") % 10 == 3, "excluded").otherwise("no_signal"))
+    return access.funnel(items, screened, labels, labels.where("quality = 1"))
 
 
 @query("""SELECT d.docket_id, d.hits, d.last_seen FROM (SELECT CAST(json_extract_string(props, '$.k') AS INT) AS docket_id, count(*) AS hits, max(ts) AS last_seen FROM events WHERE event_type <> 'error' GROUP BY 1) d
@@ -397,9 +409,20 @@ def breaker_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- Pages, plans, JSON --------------------------------------------------------------------------
-@query("SELECT page_id, lower(regexp_extract(url, '://([^/?#]*)', 1)) AS host, coalesce(regexp_extract(url, '[?&]utm_source=([^&#]*)', 1), '') AS campaign FROM pages")
+@query("SELECT page_id, lower(regexp_extract(url, '://([^/?#]*)', 1)) AS host, url_decode(replace(coalesce(regexp_extract(url, '^[^#]*?[?&]utm_source=([^&#]*)', 1), ''), '+', ' ')) AS campaign FROM pages")
 def url_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.read(spark, sf_dir, "pages").select("page_id", T.url_host(F.col("url")).alias("host"), F.coalesce(F.try_parse_url("url", F.lit("QUERY"), F.lit("utm_source")), F.lit("")).alias("campaign"))
+    return A.read(spark, sf_dir, "pages").select("page_id", T.url_host(F.col("url")).alias("host"), T.query_value(F.col("url"), "utm_source").alias("campaign"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE 'Ftc V. Acme ' || (o_orderkey % 10) || 'Nd Co' END AS title FROM orders")
+def slug_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    slug = F.when(F.col("o_orderkey") % 3 == 0, "12345").otherwise(F.concat(F.lit("ftc-v.-ACME-"), (F.col("o_orderkey") % 10).cast("string"), F.lit("nd-co")))
+    return A.read(spark, sf_dir, "orders").select("o_orderkey", T.slug_title(F.concat(F.lit("https://h.gov/news/"), slug, F.lit("?x=1"))).alias("title"))
+
+
+@query("SELECT strftime(CAST(d AS DATE), '%Y-%m-%d') || ':' || q AS task_key FROM (SELECT unnest(generate_series(TIMESTAMP '2001-08-25', TIMESTAMP '2001-09-01', INTERVAL 1 DAY)) AS d), (SELECT unnest(['settlement', 'verdict']) AS q)")
+def plan_day_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tasks.day_query_form(spark, "2001-09-01", 8, ["settlement", "verdict"], anchor=False)
 
 
 @query("SELECT page_id, CASE WHEN host LIKE '%.example.org' OR host = 'example.org' THEN 'org' WHEN host LIKE '%.example.com' OR host = 'example.com' THEN 'com' ELSE '_default' END AS rate_key FROM (SELECT page_id, lower(regexp_extract(url, '://([^/?#]*)', 1)) AS host FROM pages)")
