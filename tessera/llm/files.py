@@ -1,6 +1,7 @@
 """Binary files in the shared folder, written so that a lost or repeated task does no harm.
 
-A task writes a file of its own name and reports it in a row; only reported files are read.
+A task writes a file of its own name and reports it in a row; only reported files are read. Names never
+repeat, so no file is written twice; a file without content is a file like others.
 """
 
 from __future__ import annotations

@@ -3,6 +3,9 @@
 A word's hash is a polynomial over random 64-bit byte codes modulo 2**64, taken from prefix sums
 and finished with a bijective mixer, so that equal words have equal hashes everywhere. Two seeds
 give 128 bits where a hash stands for the words themselves.
+
+A null text is an empty one and has no words; no texts at all give empty arrays; equal texts give equal
+values wherever they stand.
 """
 
 from __future__ import annotations
