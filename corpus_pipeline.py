@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import bpe, decontaminate, jaccard, langid, substring
-from tessera.llm.common import checkpointed, held_out, shared_dir, table
+from tessera.llm.common import checkpointed, dropped, held_out, shared_dir, table
 from tessera.llm.queries import vocabulary
 
 #: A document is rejected if it has no letters, or if it has so many n-grams and no language holds this share of them.
@@ -67,4 +67,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, folder = table(spark, sf_dir, "documents"), shared_dir(spark)
     for i, (_, stage) in enumerate(STAGES):
         docs = checkpointed(stage(spark, docs, sf_dir), folder, f"stage-{i}")
+        dropped(spark, folder, f"stage-{i - 1}")
     return docs
