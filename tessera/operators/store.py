@@ -9,6 +9,7 @@ from collections.abc import Mapping
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def insert_ignore(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -47,6 +48,13 @@ def mark(rows: DataFrame, delta: DataFrame, keys: list[str], columns: list[str])
     return joined.select(*[F.coalesce(f"__{c}", c).alias(c) if c in columns else F.col(c) for c in rows.columns])
 
 
+def conformed(rows: DataFrame, schema: StructType, defaults: Mapping[str, object] = {}) -> DataFrame:  # noqa: B006
+    """rows of an older table under a newer schema: columns that it lacks have their default or null, others stay behind the schema's."""
+    have = set(rows.columns)
+    wanted = [(F.col(f.name) if f.name in have else F.lit(defaults.get(f.name))).cast(f.dataType).alias(f.name) for f in schema]
+    return rows.select(*wanted, *[c for c in rows.columns if c not in schema.names])
+
+
 #: Statuses of an enrollment, in the order in which it moves through them.
 ENROLLMENT = ("candidate", "enrolled", "confirmed")
 

@@ -12,7 +12,7 @@ from .plans import adapters as A
 from .plans import expectations, tasks
 from .queries import _CLASSIFIED_SQL, _has, _scored, _text, query
 from .sinks import export
-from .sources import connectors, spool
+from .sources import connectors, robots, spool
 from .streaming import ingest
 
 
@@ -416,3 +416,20 @@ def marked_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT o_orderkey FROM orders WHERE o_orderdate >= TIMESTAMP '2001-07-30 00:00:00'")
 def look_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.look_back(A.read(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").alias("published_at")), 3, "2001-08-02").select("o_orderkey")
+
+
+@query("""SELECT s_name AS path, nullif(concat_ws('; ', CASE WHEN s_suppkey % 2 = 0 THEN 'Content-Signal: ai-train=no' END, CASE WHEN s_suppkey % 3 = 0 THEN 'blocks AI crawlers: ' || CASE WHEN s_suppkey % 5 = 0 THEN 'ccbot' ELSE 'ccbot, gptbot' END END), '') AS ai_signal FROM supplier""")
+def robots_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("s_suppkey")
+    text = F.concat(
+        F.lit("User-agent: *\nDisallow: /x # all\nCrawl-delay: 3\n"), F.when(k % 2 == 0, "Content-Signal: ai-train=no\n").otherwise(""),
+        F.when(k % 5 != 0, "User-Agent: GPTBot\n").otherwise(""), F.lit("user-agent: CCBot\nAllow: /y\n"), F.when(k % 3 == 0, "Disallow: /\n").otherwise("Disallow: /z\n"), F.lit("Sitemap: http://s\nUser-agent: ClaudeBot\n"),
+    )
+    return robots.ai_signals(A.read(spark, sf_dir, "supplier").select(F.col("s_name").alias("path"), text.alias("text")))
+
+
+@query("SELECT c_custkey, c_name, CAST(NULL AS DOUBLE) AS damages_usd, 1 AS schema_version, c_mktsegment FROM customer")
+def conformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An older table under a newer schema."""
+    newer = spark.createDataFrame([], "c_custkey long, c_name string, damages_usd double, schema_version int").schema
+    return store.conformed(A.read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment"), newer, {"schema_version": 1})

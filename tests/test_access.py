@@ -7,10 +7,12 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tessera import __main__ as command_line
+from tessera import queries
 from tessera.operators import access, extracts, store
-from tessera.plans import expectations, tasks
+from tessera.plans import expectations, settings, tasks
 from tessera.sinks import export
-from tessera.sources import connectors
+from tessera.sources import connectors, robots
 from tessera.streaming import orchestrate
 
 from .test_core import blobs, values
@@ -132,3 +134,25 @@ def test_sorts_and_display(spark):
     assert (shown["document_count"], shown["court_display"], shown["damages_sort_key"]) == (2, "Texas", 0.0)
     marks = spark.createDataFrame([("s", "t", "v", '["a","b"]'), ("s", "u", None, "torn")], "source_id string, task_key string, value string, seen_keys string")
     assert [access.get_watermark(marks, "s", k).first()["seen_keys"] for k in ("t", "u")] == [["a", "b"], []]
+
+
+def test_settings_and_command_line(tmp_path, spark, capsys):
+    file = tmp_path / "s.toml"
+    file.write_text('purpose = "research"\ncap = 5\n')
+    defaults = {"purpose": "production", "cap": 400, "opt_in": False}
+    assert settings.load(defaults, str(file), {"TESSERA_CAP": "7", "TESSERA_OPT_IN": "yes"}) == {"purpose": "research", "cap": 7, "opt_in": True}
+    with pytest.raises(ValueError):
+        settings.load(defaults, None, {"TESSERA_PURPOSE": "fun"})
+    file.write_text("other = 1\n")
+    with pytest.raises(KeyError):
+        settings.load(defaults, str(file), {})
+    assert command_line.main(["coverage", "/root/testdata/sf0.001", "--limit", "2"]) == 0
+    assert "confidence" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        command_line.main(["nothing", "/x"])
+    assert set(command_line.VERBS.values()) <= set(queries.QUERIES)
+
+
+def test_robots_without_anything_to_say(spark):
+    files = spark.createDataFrame([("a", None), ("b", "User-agent: GPTBot\nSitemap: x\nDisallow: /\n"), ("c", "User-agent: GPTBot\nDisallow:\nDisallow: /\n")], "path string, text string")
+    assert {r["path"]: r["ai_signal"] for r in robots.ai_signals(files).collect()} == {"a": None, "b": None, "c": "blocks AI crawlers: gptbot"}
