@@ -150,7 +150,7 @@ def facet_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""SELECT item_uid, CASE WHEN x IS NULL THEN '' WHEN x >= 1e9 THEN '$' || replace(CAST(CAST(round_even(x / 1e9, 1) AS DECIMAL(18, 1)) AS VARCHAR) || 'B', '.0B', 'B') WHEN x >= 1e6 THEN '$' || CAST(CAST(round_even(x / 1e6, 0) AS BIGINT) AS VARCHAR) || 'M'
-  WHEN x >= 1e3 THEN '$' || CAST(CAST(round_even(x / 1e3, 0) AS BIGINT) AS VARCHAR) || 'K' ELSE '$' || CAST(CAST(round_even(x, 0) AS BIGINT) AS VARCHAR) END AS amount FROM (SELECT item_uid, damages_usd * CASE WHEN is_public THEN 31.0 ELSE 0.000003 END AS x FROM ({A.EXTRACTIONS_SQL}))""")
+  WHEN x >= 1e3 THEN '$' || CAST(CAST(round_even(x / 1e3, 0) AS BIGINT) AS VARCHAR) || 'K' ELSE '$' || format('{{:,}}', CAST(round_even(x, 0) AS BIGINT)) END AS amount FROM (SELECT item_uid, damages_usd * CASE WHEN is_public THEN 31.0 ELSE 0.000003 END AS x FROM ({A.EXTRACTIONS_SQL}))""")
 def stated_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Amounts from dollars to billions, and missing ones."""
     amount = F.col("damages_usd") * F.when(F.col("is_public"), 31.0).otherwise(0.000003)
