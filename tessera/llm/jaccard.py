@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -159,7 +160,10 @@ def _may_link(num: int, den: int, size_a: str, pos_a: str, size_b: str, pos_b: s
 
 
 def connected(texts: DataFrame, index: DataFrame, signed: DataFrame, folder: str, width: int, num: int, den: int) -> DataFrame:
-    """(node, comp) of classes that link and share a list. index: tok, bucket (of sizes), cid, size, pos (least possible place of a common shingle)."""
+    """(node, comp) of classes that link and share a list. index: tok, bucket (of sizes), cid, size, pos (least possible place of a common shingle), maybe parity.
+
+    pos is the least number of the set's shingles that stand in no other listed set; parity, where index has it, is compared within the join.
+    """
     # Each class against the hubs of its lists: the least position in each block of sizes.
     hub = index.groupBy("tok", "bucket").agg(F.min(F.struct("pos", "size", "cid")).alias("hub"))
     hubs = hub.select("tok", F.explode(F.array(F.col("bucket") - 1, F.col("bucket"), F.col("bucket") + 1)).alias("bucket"), F.col("hub.pos").alias("hp"), F.col("hub.size").alias("hs"), F.col("hub.cid").alias("b"))
@@ -170,14 +174,21 @@ def connected(texts: DataFrame, index: DataFrame, signed: DataFrame, folder: str
     # Blocks of different components that positions and sizes don't rule out.
     index = checkpointed(index.join(linked.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid")), folder, "blocked")
     dropped(texts.sparkSession, folder, "index")
-    blocks = index.groupBy("tok", "bucket", "comp").agg(F.min("pos").alias("pos"), F.min("size").alias("low"), F.max("size").alias("high"))
-    left, right = (blocks.select("tok", *(F.col(c).alias(f"{c}_{s}") for c in ("bucket", "comp", "pos", "low", "high"))) for s in "ab")
+    blocks = index.groupBy("tok", "bucket", "comp").agg(F.min("pos").alias("pos"), F.min("size").alias("low"), F.max("size").alias("high"), F.count("*").alias("n"))
+    left, right = (blocks.select("tok", *(F.col(c).alias(f"{c}_{s}") for c in ("bucket", "comp", "pos", "low", "high", "n"))) for s in "ab")
     rest = F.least(F.col("high_a") - F.col("pos_a"), F.col("high_b") - F.col("pos_b"))
     near = left.join(right, "tok").where((F.col("comp_a") < F.col("comp_b")) & (F.col("high_a") * den >= F.col("low_b") * num) & (F.col("high_b") * den >= F.col("low_a") * num) & (rest * (num + den) >= num * (F.col("low_a") + F.col("low_b"))))
+    signs = [c for c in ("parity",) if c in index.columns]
+    if signs:  # the block of fewer classes is expanded first, and signatures are compared where the other one is
+        swap = F.col("n_a") > F.col("n_b")
+        near = near.select("tok", *(F.when(swap, F.col(f"{c}_{o}")).otherwise(F.col(f"{c}_{s}")).alias(f"{c}_{s}") for s, o in ("ab", "ba") for c in ("bucket", "comp")))
     near = near.select("tok", "bucket_a", "comp_a", "bucket_b", "comp_b")
     for s in "ab":
-        near = near.join(index.select("tok", *(F.col(c).alias(f"{c}_{s}") for c in ("bucket", "comp", "cid", "pos", "size"))), ["tok", f"bucket_{s}", f"comp_{s}"])
-    second = near.where(_may_link(num, den, "size_a", "pos_a", "size_b", "pos_b")).select(F.least("cid_a", "cid_b").alias("a"), F.greatest("cid_a", "cid_b").alias("b"))
+        near = near.join(index.select("tok", *(F.col(c).alias(f"{c}_{s}") for c in ("bucket", "comp", "cid", "pos", "size", *signs))), ["tok", f"bucket_{s}", f"comp_{s}"])
+    likely = _may_link(num, den, "size_a", "pos_a", "size_b", "pos_b")
+    if signs:
+        likely &= differing("parity_a", "parity_b") * (num + den) <= (F.col("size_a") + F.col("size_b")) * (den - num)
+    second = near.where(likely).select(F.least("cid_a", "cid_b").alias("a"), F.greatest("cid_a", "cid_b").alias("b"))
     more = verified(texts, signed, second, folder, "blocks", width, num, den)
     dropped(texts.sparkSession, folder, "blocked")
     if more.limit(1).count():
@@ -185,12 +196,18 @@ def connected(texts: DataFrame, index: DataFrame, signed: DataFrame, folder: str
     return linked
 
 
-def listed(classes: DataFrame, folder: str, column: str, num: int, den: int) -> DataFrame:
-    """Rows (tok, cid, size, bucket, pos) of the entries of a column of lists that more than one class may have."""
+def often(classes: DataFrame, folder: str, column: str) -> np.ndarray:
+    """Filter of the entries of a column of lists that more than one class has."""
+    found = classes.select(F.explode(column).alias("tok")).groupBy("tok").agg(F.count("*").alias("n")).where("n > 1").select("tok")
+    words = bitfilter.build(checkpointed(found, folder, "often"), "tok")
+    dropped(classes.sparkSession, folder, "often")
+    return words
+
+
+def listed(classes: DataFrame, folder: str, column: str, num: int, den: int, shared: Broadcast | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rows (tok, cid, size, *keep, bucket, pos) of the entries of a column of lists that more than one class may have; shared: what often() tells of them."""
     spark = classes.sparkSession
-    often = classes.select(F.explode(column).alias("tok")).groupBy("tok").agg(F.count("*").alias("n")).where("n > 1").select("tok")
-    shared = spark.sparkContext.broadcast(bitfilter.build(checkpointed(often, folder, "often"), "tok"))
-    dropped(spark, folder, "often")
+    shared = shared or spark.sparkContext.broadcast(often(classes, folder, column))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,10 +218,11 @@ def listed(classes: DataFrame, folder: str, column: str, num: int, den: int) ->
             pos = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
             of = np.flatnonzero(bitfilter.passing(shared.value, flat.view(U)))
             at = pa.array(row[of])
-            yield pa.RecordBatch.from_arrays([pa.array(flat[of]), batch.column("cid").take(at), batch.column("size").take(at), pa.array(pos[of].astype(np.int32))], names=["tok", "cid", "size", "pos"])
+            yield pa.RecordBatch.from_arrays([pa.array(flat[of]), *(batch.column(c).take(at) for c in ("cid", "size", *keep)), pa.array(pos[of].astype(np.int32))], names=["tok", "cid", "size", *keep, "pos"])
 
     bucket = F.floor(F.log(F.col("size").cast("double")) / float(np.log(den / num))).cast("int")
-    found = classes.select("cid", "size", column).mapInArrow(rows, f"tok long, cid {_CLASS}, size long, pos int")
+    kept = "".join(f", {c} {classes.schema[c].dataType.simpleString()}" for c in keep)
+    found = classes.select("cid", "size", *keep, column).mapInArrow(rows, f"tok long, cid {_CLASS}, size long{kept}, pos int")
     return checkpointed(found.withColumn("bucket", bucket), folder, "index")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import hashlib
 import math
+import random
 import re
 import zlib
 
@@ -88,6 +89,25 @@ def test_bands_find_near_duplicates(spark):
     assert bands.near_duplicates(data.frame(spark, [])).count() == 0
 
 
+def test_bands_compare_few_pairs_of_a_group_of_unlinked_texts(spark, monkeypatch):
+    rng = random.Random(11)
+    base, texts = [f"w{k}" for k in range(150)], []
+    for i in range(160):  # half of them link with the first text; the others share bands with it and with each other, but link with none
+        w = list(base)
+        for at in rng.sample(range(30), 2 if i % 2 else 5):
+            w[5 * at + 2] = f"x{i}y{at}"
+        texts.append(" ".join(w))
+    rows = [(i, t, *[None] * 11) for i, t in enumerate([" ".join(base), *texts])]
+    asked, verified = [], jaccard.verified
+    monkeypatch.setattr(jaccard, "verified", lambda docs, signed, pairs, *a: asked.append(pairs.count()) or verified(docs, signed, pairs, *a))
+    got = {r["doc_id"]: r["class_id"] for r in bands.near_duplicates(data.frame(spark, rows)).collect()}
+    sets, top = components(rows, 5, 80, 100)
+    least = {t: min(r[0] for r, x in zip(rows, top, strict=True) if x == t) for t in top}
+    assert got == {r[0]: least[t] for r, t in zip(rows, top, strict=True)}
+    assert len(set(got.values())) > 70
+    assert sum(asked) < 32 * len(rows), asked  # a list for each band; all pairs of lists are several times as many
+
+
 def test_one_of_each_near_duplicate_stays(spark):
     rows = data.rows() + near_copies()
     sets, top = components(rows, 5, 80, 100)
