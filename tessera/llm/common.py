@@ -98,9 +98,14 @@ def release() -> None:
             held.close()
         _resident.clear()
         gc.collect()
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(OSError, AttributeError):  # only glibc has it
-            ctypes.CDLL(None).malloc_trim(0)
+        trimmed()
+
+
+def trimmed() -> None:
+    """Give back to the system what the worker has freed; allocators keep it, and workers wait beside others that work."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def slices(batches: Iterable[pa.RecordBatch], text: str, limit: int = SLICE_BYTES, keep: bool = False) -> Iterator[pa.RecordBatch]:
@@ -117,6 +122,9 @@ def slices(batches: Iterable[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
             held += n
         if begin < len(lengths):
             yield batch.slice(begin)
+    if not keep:
+        batch = None
+        trimmed()
 
 
 #: Pieces that arrays are cut into for sums over all tasks, and arrays that one task of a level adds up.
@@ -132,6 +140,7 @@ def array_sums(rows: DataFrame, kinds: list[type], combine: Callable[[list[np.nd
     """
 
     def pieces(part: int, given: Iterator[tuple]) -> Iterator[tuple[tuple[int, int], list[np.ndarray]]]:
+        release()
         for row in given:
             arrays = [np.frombuffer(x, k).reshape(PIECES, -1) for x, k in zip(row, kinds, strict=True)]
             for i in range(PIECES):

@@ -38,3 +38,13 @@ def test_slices_keep_all_rows_and_bound_bytes():
     cut = list(common.slices([batch, batch.slice(0, 0)], "text", 20))
     assert [i for b in cut for i in b.column("i").to_pylist()] == list(range(8))
     assert all(b.num_rows == 1 or sum(len(t or "") for t in b.column("text").to_pylist()) <= 20 for b in cut)
+
+
+def test_a_worker_gives_back_its_memory_after_a_task(monkeypatch):
+    calls = []
+    monkeypatch.setattr(common, "trimmed", lambda: calls.append(1), raising=False)
+    batch = pa.RecordBatch.from_arrays([pa.array(["a" * 10, None, "b" * 20])], names=["text"])
+    assert sum(x.num_rows for x in common.slices(iter([batch]), "text", 12)) == 3
+    assert calls == [1]
+    assert sum(x.num_rows for x in common.slices(iter([batch]), "text", 12, keep=True)) == 3  # an operator that keeps something goes on with it
+    assert calls == [1]
