@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that a Python task holds at once; a longer single document is a slice of its own.
-SLICE_BYTES = 3 << 19
+SLICE_BYTES = 3 << 18
 #: Rows and bytes of one Arrow batch between the JVM and Python.
 BATCH_ROWS, BATCH_BYTES = 2_000, 4 << 20
 
